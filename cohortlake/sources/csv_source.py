@@ -46,7 +46,9 @@ def scan_text(spark: SparkSession, path: str, options: Mapping[str, str] | None
     """All columns as strings, named by the header: the input of schema inference."""
     chosen = {**READ_OPTIONS, **(options or {})}
     chosen.pop("columnNameOfCorruptRecord")
-    return spark.read.format("csv").options(**chosen, inferSchema="false").load(path)
+    df = spark.read.format("csv").options(**chosen, inferSchema="false").load(path)
+    # The reader calls a blank header _c<position>; the name policy calls it col_<position>.
+    return df.toDF(*[sch.safe_name("", i) if c == f"_c{i}" else c for i, c in enumerate(df.columns)])
 
 
 def header(spark: SparkSession, path: str) -> list[str]:
