@@ -226,3 +226,70 @@ docs_labeled AS (
 
 def with_views(body: str, *views: str) -> str:
     return "WITH " + ",".join(views) + "\n" + body if views else body
+
+
+# -- a scored portfolio: one row per order ------------------------------------------------------
+
+
+def portfolio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score 400 to 799, a bad flag that falls with it, and loss components, some of them missing."""
+    key, price = F.col("o_orderkey"), F.col("o_totalprice")
+    score = (F.lit(400) + (key * 7919) % 400).cast("double")
+    return (
+        table(spark, sf_dir, "orders")
+        .withColumn("score", score)
+        .select(
+            key.alias("loan_id"),
+            F.col("o_custkey").alias("customer_id"),
+            F.col("o_orderpriority").alias("segment"),
+            F.col("o_orderdate").alias("opened"),
+            "score",
+            ((key * 104729) % 1000 < 800 - F.col("score")).cast("int").alias("target"),
+            ((key * 104729) % 1000 == 999).alias("is_indeterminate"),
+            ((801 - F.col("score")) / 1000).alias("pd"),
+            price.alias("balance"),
+            (price * 0.5).alias("spend"),
+            F.when(key % 3 != 0, 0.5 + (key % 50) / 100.0).alias("lgd"),
+            F.when(key % 4 != 0, price * 0.9).alias("ead"),
+        )
+    )
+
+
+PORTFOLIO_SQL = """
+portfolio AS (
+  SELECT o_orderkey AS loan_id, o_custkey AS customer_id, o_orderpriority AS segment, o_orderdate AS opened, score,
+         CASE WHEN o_orderkey * 104729 % 1000 < 800 - score THEN 1 ELSE 0 END AS target,
+         o_orderkey * 104729 % 1000 = 999 AS is_indeterminate, (801 - score) / 1000 AS pd,
+         o_totalprice AS balance, o_totalprice * 0.5 AS spend,
+         CASE WHEN o_orderkey % 3 <> 0 THEN CAST(0.5 AS DOUBLE) + (o_orderkey % 50) / CAST(100 AS DOUBLE) END AS lgd,
+         CASE WHEN o_orderkey % 4 <> 0 THEN o_totalprice * 0.9 END AS ead
+  FROM (SELECT *, CAST(400 + (o_orderkey * 7919) % 400 AS DOUBLE) AS score FROM orders))"""
+
+
+def external_tradelines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as tradelines of the customer, with a kind, a state, debt and limit."""
+    key, price = F.col("o_orderkey"), F.col("o_totalprice")
+    state = F.when(F.col("o_orderstatus") == "F", "Closed").when(key % 17 == 0, "Bad debt").otherwise("Active")
+    return table(spark, sf_dir, "orders").select(
+        key.alias("tradeline_id"),
+        F.col("o_custkey").alias("customer_id"),
+        F.substring("o_orderpriority", 1, 1).alias("kind"),
+        state.alias("state"),
+        (-F.datediff(F.lit("2001-12-31"), "o_orderdate")).alias("opened_day"),
+        (price * (key % 11) / 10).alias("debt"),
+        F.when(key % 5 != 0, price).alias("credit_limit"),
+        F.when(key % 17 == 0, price * 0.1).otherwise(0.0).alias("overdue"),
+        (key % 13 == 0).cast("int").alias("prolonged"),
+    )
+
+
+EXTERNAL_SQL = """
+external AS (
+  SELECT o_orderkey AS tradeline_id, o_custkey AS customer_id, substring(o_orderpriority, 1, 1) AS kind,
+         CASE WHEN o_orderstatus = 'F' THEN 'Closed' WHEN o_orderkey % 17 = 0 THEN 'Bad debt' ELSE 'Active' END AS state,
+         -date_diff('day', CAST(o_orderdate AS DATE), DATE '2001-12-31') AS opened_day,
+         o_totalprice * (o_orderkey % 11) / 10 AS debt,
+         CASE WHEN o_orderkey % 5 <> 0 THEN o_totalprice END AS credit_limit,
+         CASE WHEN o_orderkey % 17 = 0 THEN o_totalprice * 0.1 ELSE 0.0 END AS overdue,
+         CASE WHEN o_orderkey % 13 = 0 THEN 1 ELSE 0 END AS prolonged
+  FROM orders)"""
