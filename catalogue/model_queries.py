@@ -166,6 +166,26 @@ def psi(spark, sf_dir):
     return rounded(measured, 6)
 
 
+@query(
+    "q_psi_by_period",
+    fx.with_views(
+        f"""
+SELECT y AS year, {big('sum(n)')} AS n, {r('sum((a - e) * ln(a / e))', 6)} AS psi
+FROM (SELECT y, n, greatest(n / sum(n) OVER (PARTITION BY y), 1e-6) AS a,
+             greatest((SELECT count(*) FROM banded b WHERE b.y = 1995 AND b.band = g.band) / (SELECT count(*) FROM base), 1e-6) AS e
+      FROM (SELECT y, band, (SELECT count(*) FROM banded b WHERE b.y = ys.y AND b.band = bs.band) AS n
+            FROM (SELECT DISTINCT y FROM o) ys, (SELECT unnest(range(1, 11)) AS band) bs) g)
+GROUP BY y""",
+        "o AS (SELECT CAST(year(o_orderdate) AS INT) AS y, o_totalprice FROM orders)",
+        "base AS (SELECT * FROM o WHERE y = 1995)",
+        _banded("o", "o_totalprice", 10, "base"),
+    ),
+)
+def psi_by_period(spark, sf_dir):
+    orders = fx.table(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("year"), "o_totalprice")
+    return rounded(validation.psi_by_period(orders.filter("year = 1995"), orders, "o_totalprice", "year"), 6)
+
+
 @query(
     "q_psi_category",
     """

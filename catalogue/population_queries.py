@@ -11,6 +11,7 @@ from cohortlake.operators import features as fe
 from cohortlake.operators import population as pop
 from cohortlake.operators import reports
 from cohortlake.plans import behaviour
+from cohortlake.sources.workspace import materialise
 
 # -- cohort frame and population ---------------------------------------------------------
 
@@ -357,7 +358,9 @@ _register_family("q_feat_customer", _family(fe.TENURE))
 
 @query("q_features_all", _features_sql(fe.FEATURES))
 def features_all(spark, sf_dir):
-    return rounded(behaviour.feature_table(fx.panel(spark, sf_dir), fx.payments(spark, sf_dir)))
+    """The panel is stored first, as a pipeline would: three blocks read it."""
+    panel = materialise(fx.panel(spark, sf_dir), "panel")
+    return rounded(behaviour.feature_table(panel, fx.payments(spark, sf_dir)))
 
 
 @query("q_features_as_published", _features_sql(fe.FEATURES, corrected=False))

@@ -63,7 +63,7 @@ SELECT * FROM (VALUES (0, 'o_orderkey', 'long'), (1, 'o_custkey', 'long'), (2, '
   (SELECT count(*) AS n_rows, count(*) FILTER (WHERE o_orderkey % 50 = 0) AS nulls FROM orders) c,
   LATERAL (SELECT CASE WHEN position = 5 THEN nulls ELSE 0 END AS n_null,
                   CASE WHEN position = 5 THEN round(nulls / n_rows, 6) ELSE 0.0 END AS null_rate)
-""".replace("SELECT * FROM", 'SELECT position, "column", inferred_type, n_rows, n_null, null_rate FROM', 1),
+""".replace("SELECT * FROM", 'SELECT position, "column", inferred_type, false AS is_widened, n_rows, n_null, null_rate FROM', 1),
 )
 def schema_infer(spark, sf_dir):
     return sch.scan_types(csv_source.scan_text(spark, _orders_csv(spark, sf_dir, "infer-csv")))
@@ -72,8 +72,9 @@ def schema_infer(spark, sf_dir):
 # The digest is a Spark hash that other engines cannot recompute: rows only.
 @query("q_profile_table")
 def profile_table(spark, sf_dir):
-    text = csv_source.scan_text(spark, _orders_csv(spark, sf_dir, "profile-csv"))
-    return sch.profile_table(spark, text, "orders", expected_rows=15_000)
+    path = _orders_csv(spark, sf_dir, "profile-csv")
+    files = csv_source.list_files(spark, path, "*.csv")
+    return sch.profile_table(spark, csv_source.scan_text(spark, path), "orders", 15_000, files)
 
 
 @query(

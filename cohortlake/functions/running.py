@@ -31,7 +31,8 @@ def running_totals(df: DataFrame, key: str, columns: Sequence[str], pieces: int
     is summed on its own, and the totals of the ranges before it (a table of ``pieces`` rows) are
     added on top.
     """
-    cuts = df.approxQuantile(key, [i / pieces for i in range(1, pieces)], 0.5 / pieces)
+    probs = [i / pieces for i in range(1, pieces)]
+    cuts = df.approxQuantile(key, probs, 0.5 / pieces) if probs else []
     parts = bucketed(df, key, cuts, "_piece")
     totals = parts.groupBy("_piece").agg(*[F.sum(c).alias(f"_sum_{c}") for c in columns])
     earlier = Window.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)

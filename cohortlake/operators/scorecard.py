@@ -94,25 +94,32 @@ def woe_discrete(df: DataFrame, variable: str, target: str, smoothing: float = 0
 # -- dummies and coarse classes --------------------------------------------------------
 
 
-def categories(df: DataFrame, column: str, max_categories: int = 10_000) -> list[str]:
-    """Observed non-NULL values, sorted. They become column names, hence the checked bound."""
-    values = df.select(F.col(column).cast("string").alias("v")).filter("v IS NOT NULL").distinct()
-    found = [r["v"] for r in values.limit(max_categories + 1).collect()]
-    if len(found) > max_categories:
-        raise ValueError(f"{column} has more than {max_categories} values; bin it before making dummies")
-    return sorted(found)
+def categories(df: DataFrame, columns: Sequence[str], max_categories: int = 10_000) -> dict[str, list[str]]:
+    """Observed non-NULL values per column, sorted, found in one job.
+
+    They become column names, hence the checked bound: more values raise, none are dropped.
+    """
+    pairs = F.array(
+        *[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns]
+    )
+    found = df.select(F.inline(pairs)).filter(F.col("value").isNotNull()).distinct()
+    rows = found.limit(max_categories + 1).collect()
+    if len(rows) > max_categories:
+        raise ValueError(f"more than {max_categories} values in {', '.join(columns)}; bin them before making dummies")
+    return {c: sorted(r["value"] for r in rows if r["column"] == c) for c in columns}
 
 
 def one_hot(
     df: DataFrame, columns: Sequence[str], separator: str = ":", known: Mapping[str, Sequence[str]] | None = None
 ) -> DataFrame:
     """Add a 0/1 column ``column:value`` per value; a NULL gets 0 everywhere."""
-    known = known or {}
-    dummies = {}
-    for c in columns:
-        for value in known.get(c) or categories(df, c):
-            hit = F.col(c).cast("string") == value
-            dummies[f"{c}{separator}{value}"] = F.when(hit, 1).otherwise(0)
+    values = dict(known or {})
+    unknown = [c for c in columns if c not in values]
+    if unknown:
+        values |= categories(df, unknown)
+    dummies = {
+        f"{c}{separator}{v}": F.when(F.col(c).cast("string") == v, 1).otherwise(0) for c in columns for v in values[c]
+    }
     return df.withColumns(dummies)
 
 

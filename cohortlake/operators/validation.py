@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from cohortlake.functions import columns as fx
 from cohortlake.functions.running import bucketed, running_totals
 from cohortlake.operators.binning import quantile_edges
+from cohortlake.sources.workspace import materialise
 
 
 def score_points(df: DataFrame, score: str = "score", target: str = "target") -> DataFrame:
@@ -28,7 +29,8 @@ def score_points(df: DataFrame, score: str = "score", target: str = "target") ->
 
 def separation(df: DataFrame, score: str = "score", target: str = "target") -> DataFrame:
     """KS, AUC, Gini and divergence in one row. Ties count half in the AUC."""
-    points = score_points(df, score, target)
+    # Stored once: the cut points, the piece totals and the curve all read it.
+    points = materialise(score_points(df, score, target), "score_points")
     curve = running_totals(points, "score", ["bads", "goods"])
     gap_here = F.abs(
         F.try_divide(F.col("cum_bads"), F.col("total_bads")) - F.try_divide(F.col("cum_goods"), F.col("total_goods"))
@@ -168,6 +170,29 @@ def psi(expected: DataFrame, actual: DataFrame, value: str, bands: int = 10) ->
     return table.agg(total.alias("psi"), verdict.alias("verdict"))
 
 
+def psi_by_period(
+    expected: DataFrame, actual: DataFrame, value: str, period: str, bands: int = 10, floor: float = 1e-6
+) -> DataFrame:
+    """Index of each period of ``actual`` against the expected sample, all periods in one pass."""
+    edges = quantile_edges(expected, [value], bands)[value]
+
+    def banded(df: DataFrame) -> DataFrame:
+        return with_band(df, value, edges=edges).withColumn("band", F.coalesce("band", F.lit(0)))
+
+    base = banded(expected).groupBy("band").agg(F.count(F.lit(1)).alias("n"))
+    base = base.select("band", F.try_divide(F.col("n"), expected.agg(F.count(F.lit(1))).scalar()).alias("_e"))
+    seen = banded(actual).groupBy(period, "band").agg(F.count(F.lit(1)).alias("n"))
+    # One row per period and band from here on.
+    totals = seen.groupBy(period).agg(F.sum("n").alias("_total"))
+    grid = totals.withColumn("band", F.explode(F.sequence(F.lit(0), F.lit(len(edges) + 1))))
+    filled = grid.join(seen, [period, "band"], "left").join(F.broadcast(base), "band", "left")
+    e = F.greatest(F.coalesce("_e", F.lit(0.0)), F.lit(floor))
+    a = F.greatest(F.coalesce(F.try_divide(F.col("n"), F.col("_total")), F.lit(0.0)), F.lit(floor))
+    return filled.groupBy(period).agg(
+        F.max("_total").alias("n"), F.sum((a - e) * F.log(a / e)).alias("psi")
+    )
+
+
 def indeterminate_check(df: DataFrame, score: str = "score") -> DataFrame:
     """Mean score of bads, indeterminates and goods; the middle one must lie between."""
 

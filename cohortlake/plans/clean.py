@@ -23,6 +23,17 @@ SOURCES = {
     "panel_pooled": ("credit_card_balance", "pos_cash_balance"),
 }
 
+COMMENTS = {
+    "application": "labelled applications; sentinels blanked, income capped",
+    "application_holdout": "unlabelled applications, cleaned alike, never trained on",
+    "bureau": "external tradelines",
+    "bureau_balance": "monthly tradeline status as bucket 0-5, months on the account panels' axis",
+    "previous_application": "earlier applications; sentinels blanked",
+    "installments_payments": "payments with lateness and shortfall",
+    "panel_pooled": "card and POS months; columns a product lacks are NULL, utilisation needs a positive limit",
+}
+AUDIT = "table string, status string, n_rows bigint, duration_sec double"
+
 
 def clean_table(
     name: str,
@@ -57,7 +68,8 @@ def write_silver(
     for name, sources in SOURCES.items():
         raw = {s: spark.table(layout.table("bronze", s)) for s in sources}
         cleaned = clean_table(name, raw, sentinels, n_rows)
-        audit.append({**tables.write_table(cleaned, layout.table("silver", name), mode), "table": name})
+        audit.append({**tables.write_table(cleaned, layout.table("silver", name), mode, COMMENTS[name]), "table": name})
+    tables.append_audit(spark, audit, AUDIT, layout.table("reporting", "silver_audit"))
     return audit
 
 
@@ -76,9 +88,10 @@ def silver_gate(spark: SparkSession, layout: cfg.Layout = cfg.Layout()) -> DataF
 
 
 def silver_profile(spark: SparkSession, layout: cfg.Layout = cfg.Layout()) -> DataFrame:
-    """Column profile of every clean table."""
+    """Store and return the column profile of every clean table."""
     profiles = [
         profiling.column_profile(spark.table(layout.table("silver", name))).select(F.lit(name).alias("table"), "*")
         for name in SOURCES
     ]
-    return quality.union_findings(profiles)
+    report = quality.union_findings(profiles).withColumn("generated_at", F.current_timestamp())
+    return tables.overwrite_table(report, layout.table("reporting", "silver_data_quality"))

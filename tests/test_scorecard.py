@@ -58,7 +58,7 @@ def test_dummies(spark):
     merged = scorecard.merge_dummies(out, "home", ["RENT", "NONE", "ANY"])
     assert [r["home:RENT_NONE_ANY"] for r in merged.collect()] == [1, 0, 0, 1]
     with pytest.raises(ValueError):
-        scorecard.categories(df, "home", max_categories=2)
+        scorecard.categories(df, ["home"], max_categories=2)
     label = df.select(scorecard.coarse_class("home", {"other": ["RENT", "NONE"]}).alias("c"))
     assert [r.c for r in label.collect()] == ["other", "OWN", None, "other"]
 

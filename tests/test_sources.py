@@ -4,7 +4,7 @@ from pyspark.sql import types as T
 
 from cohortlake import config as cfg
 from cohortlake.operators import quality
-from cohortlake.plans import clean, ingest, verify
+from cohortlake.plans import clean, gold, ingest, verify
 from cohortlake.sources import csv_source, tables
 from cohortlake.sources import schema as sch
 from cohortlake.sources.workspace import materialise, shared_dir
@@ -77,7 +77,9 @@ def test_inference_looks_at_every_row(spark):
         F.when(F.col("id") > 9, "007").alias("padded"),
         F.lit("2020").alias("year"),
     )
-    got = {r.column: (r.inferred_type, r.n_null) for r in sch.scan_types(text).collect()}
+    scanned = sch.scan_types(text).collect()
+    assert [r.column for r in scanned if r.is_widened] == ["widened"]
+    got = {r.column: (r.inferred_type, r.n_null) for r in scanned}
     assert got == {
         "whole": ("long", 0), "widened": ("string", 0), "mixed": ("double", 0), "flag": ("boolean", 0), "day": ("date", 0),
         "moment": ("timestamp", 0), "nothing": ("string", n), "padded": ("long", 10), "year": ("long", 0),
@@ -276,6 +278,31 @@ def test_csv_to_silver(spark, tmp_path, lake):
     assert spark.table("t_silver.installments_payments").filter("is_short_payment").count() == 20
     profile = clean.silver_profile(spark, lake)
     assert profile.filter("table = 'application' AND column = 'EXT_SOURCE_1'").first().n_null == 6
+    assert spark.table("t_reporting.silver_audit").count() == 7
+    comments = dict(rows(tables.list_tables(spark, "t_silver")))
+    assert comments == clean.COMMENTS
+
+    # On to labels and features, with windows that fit nine months of history.
+    cohorts = [cfg.Cohort("dev", -4, 3, 3), cfg.Cohort("oot", -5, 3, 3)]
+    rule = cfg.PopulationRule(min_tenure_months=2, min_obs_rows=3, min_perf_rows=3)
+    gate = gold.write_population(spark, lake, cohorts, rule)
+    assert {r.check: r.status for r in gate.collect()}["min-bads"] == "FAIL"
+    with pytest.raises(quality.GateError):
+        quality.raise_on_fail(gate)
+    target = spark.table("t_gold.target_behaviour")
+    assert len(target.columns) == 15 and target.count() == 80
+    waterfall = spark.table("t_reporting.exclusion_waterfall").filter("cohort = 'dev' AND step IN (0, 7)")
+    assert rows(waterfall.select("step", "n_out"), "step") == [(0, 40), (7, 40)]
+    application = spark.table("t_gold.target_application")
+    assert application.count() == 20 and application.agg(F.sum("target"), F.max("n_product_types")).first() == (2, 2)
+    leak = gold.write_features(spark, lake, cohorts)
+    assert leak.first().status == "PASS"
+    features = spark.table("t_gold.features_internal")
+    assert features.count() == 80 and len(features.columns) == 76
+    dictionary = spark.table("t_gold.feature_dictionary")
+    assert dictionary.count() == 71 and gold.unbuilt_features(dictionary).count() == 0
+    card = features.filter("cohort = 'dev' AND product_type = 'CC' AND SK_ID_PREV = 502").first()
+    assert (card.max_dpd_3m, card.util_at_obs, card.cash_adv_amt_3m, card.n_txn_3m) == (6, 0.4, 5.0, None)
 
 
 def test_verification_of_a_good_extract(spark, tmp_path):
