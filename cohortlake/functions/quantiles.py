@@ -84,7 +84,8 @@ def _order_statistics(df: DataFrame, brackets: list[_Bracket]) -> list[float]:
         return []
     _count_brackets(df, brackets)
     if not all(b.holds for b in brackets):
-        # Tiny columns or an unlucky sketch: fall back to the full range of the column.
+        # The sketch is off by less than the margin, so this takes a column so short that the margin
+        # is below one rank (under accuracy / 4 rows); its full range is then small as well.
         for b in brackets:
             if not b.holds:
                 b.low, b.high = -math.inf, math.inf

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cohortlake.functions import columns as fx
 from cohortlake.functions.quantiles import exact_quantiles
+from cohortlake.functions.running import bucketed
 
 
 def join_features(target: DataFrame, features: DataFrame, keys: Sequence[str], point: str = "obs_point") -> DataFrame:
@@ -18,21 +19,41 @@ def join_features(target: DataFrame, features: DataFrame, keys: Sequence[str], p
 
 
 def as_of_join(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], at: str, time: str, values: Sequence[str]
+    left: DataFrame, right: DataFrame, keys: Sequence[str], at: str, time: str, values: Sequence[str], pieces: int = 64
 ) -> DataFrame:
     """Latest right-hand values with ``time <= at`` for each left row; NULL if there is none.
 
     No pair of rows is ever built: both sides shrink to one row per key and time value, the
-    values are carried forward along the axis, and the left rows look them up by equality. Rows
-    with the same key and time resolve to the largest values.
+    values are carried forward along the axis, and the left rows look them up by equality. The
+    axis (numeric, date or timestamp) is cut into ``pieces``; each is filled on its own from the
+    end of the piece before it, so a key with very many time values is spread over many tasks.
+    Rows with the same key and time resolve to the largest values.
     """
     packed = F.struct(*[F.col(v) for v in values])
     known = right.groupBy(*keys, F.col(time).alias(at)).agg(F.max(packed).alias("_known"))
     asked = left.select(*keys, at).distinct()
     axis = asked.join(known, [*keys, at], "full_outer")
-    forward = Window.partitionBy(*keys).orderBy(at).rowsBetween(Window.unboundedPreceding, 0)
-    carried = axis.withColumn("_known", F.last("_known", ignorenulls=True).over(forward))
-    return left.join(carried, [*keys, at], "left").select(*left.columns, *[F.col(f"_known.{v}") for v in values])
+
+    number = F.col(at)
+    if dict(left.dtypes)[at] == "date":
+        number = number.cast("timestamp")
+    probs = [i / pieces for i in range(1, pieces)]
+    times = right.select(F.col(time).alias(at)).select(number.cast("double").alias("_t"))
+    cuts = times.approxQuantile("_t", probs, 0.5 / pieces) if probs else []
+    placed = bucketed(axis.withColumn("_t", number.cast("double")), "_t", cuts, "_piece").drop("_t")
+
+    # At most ``pieces`` rows per key: the last known values of each piece, then of all before it.
+    has_value = F.col("_known").isNotNull()
+    ends = placed.groupBy(*keys, "_piece").agg(F.max_by("_known", F.when(has_value, F.col(at))).alias("_end"))
+    before = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select(*keys, "_piece", F.last("_end", ignorenulls=True).over(before).alias("_carried"))
+
+    inside = Window.partitionBy(*keys, "_piece").orderBy(at).rowsBetween(Window.unboundedPreceding, 0)
+    filled = placed.withColumn("_last", F.last("_known", ignorenulls=True).over(inside)).join(
+        carried, [*keys, "_piece"], "left"
+    )
+    resolved = filled.select(*keys, at, F.coalesce("_last", "_carried").alias("_known"))
+    return left.join(resolved, [*keys, at], "left").select(*left.columns, *[F.col(f"_known.{v}") for v in values])
 
 
 def stratified_split(

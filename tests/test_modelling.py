@@ -198,13 +198,14 @@ def test_buckets(spark):
 # -- sampling --------------------------------------------------------------------------------------------------
 
 
-def test_as_of_join_against_brute_force(spark):
+@pytest.mark.parametrize("pieces", [1, 5, 64])
+def test_as_of_join_against_brute_force(spark, pieces):
     rng = np.random.default_rng(9)
     left = [(int(k), int(t)) for k, t in zip(rng.integers(0, 5, 80), rng.integers(0, 40, 80))]
     # One key holds most of the right side, with repeated times.
     right = [(int(k), int(t), int(v)) for k, t, v in zip(rng.choice([0, 0, 0, 1, 2, 3], 200), rng.integers(0, 40, 200), rng.integers(0, 99, 200))]
     got = sampling.as_of_join(
-        spark.createDataFrame(left, "k int, at int"), spark.createDataFrame(right, "k int, t int, v int"), ["k"], "at", "t", ["v"]
+        spark.createDataFrame(left, "k int, at int"), spark.createDataFrame(right, "k int, t int, v int"), ["k"], "at", "t", ["v"], pieces
     )
     want = []
     for k, at in left:
@@ -213,6 +214,14 @@ def test_as_of_join_against_brute_force(spark):
     assert rows(got) == sorted(want, key=repr)
 
 
+def test_as_of_join_on_dates(spark):
+    left = spark.createDataFrame([(1, "2020-01-05"), (1, "2019-12-31"), (2, "2020-01-05")], "k int, d string")
+    right = spark.createDataFrame([(1, "2020-01-01", "a"), (1, "2020-01-05", "b"), (1, "2020-02-01", "c")], "k int, d string, v string")
+    left, right = (df.withColumn("d", F.to_date("d")) for df in (left, right))
+    got = sampling.as_of_join(left, right.withColumnRenamed("d", "t"), ["k"], "d", "t", ["v"])
+    assert {(r.k, str(r.d)): r.v for r in got.collect()} == {(1, "2020-01-05"): "b", (1, "2019-12-31"): None, (2, "2020-01-05"): None}
+
+
 def test_stratified_split_has_the_share_in_each_stratum(spark):
     df = spark.range(5_000).withColumn("target", (F.col("id") % 50 == 0).cast("int"))
     split = sampling.stratified_split(df, "id", "target", [0, 1])
