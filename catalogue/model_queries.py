@@ -196,7 +196,7 @@ FROM (SELECT c AS category, e.n / (SELECT sum(n) FROM e) AS e, a.n / (SELECT sum
 )
 def psi_category(spark, sf_dir):
     orders = fx.table(spark, sf_dir, "orders")
-    late = F.col("o_orderdate") >= F.lit("1998-01-01").cast("timestamp")
+    late = F.col("o_orderdate") >= F.lit("1998-01-01").cast("timestamp_ntz")
     return rounded(validation.psi_table(orders.filter(~late), orders.filter(late), "o_orderpriority"), 6)
 
 

@@ -318,7 +318,7 @@ SELECT c_custkey FROM customer
 EXCEPT SELECT o_custkey FROM orders WHERE year(o_orderdate) = 1997""",
 )
 def set_diff(spark, sf_dir):
-    start, end = F.lit("1997-01-01").cast("timestamp"), F.lit("1998-01-01").cast("timestamp")
+    start, end = F.lit("1997-01-01").cast("timestamp_ntz"), F.lit("1998-01-01").cast("timestamp_ntz")
     year = fx.table(spark, sf_dir, "orders").filter((F.col("o_orderdate") >= start) & (F.col("o_orderdate") < end))
     return sets.values_missing(fx.table(spark, sf_dir, "customer"), year, "c_custkey", "o_custkey")
 

@@ -12,7 +12,7 @@ from cohortlake.sources import schema as sch
 from cohortlake.sources.workspace import scratch_path
 
 ORDERS = (
-    "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, "
+    "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, "
     "o_orderpriority string"
 )
 

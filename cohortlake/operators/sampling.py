@@ -35,7 +35,7 @@ def as_of_join(
     axis = asked.join(known, [*keys, at], "full_outer")
 
     number = F.col(at)
-    if dict(left.dtypes)[at] == "date":
+    if dict(left.dtypes)[at] in ("date", "timestamp_ntz"):
         number = number.cast("timestamp")
     probs = [i / pieces for i in range(1, pieces)]
     times = right.select(F.col(time).alias(at)).select(number.cast("double").alias("_t"))
