@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -11,11 +12,14 @@ SETTING = "spark.checkpoint.dir"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a local temporary one only where none is set (tests)."""
+    """The cluster's checkpoint folder. Unset, a one-machine session gets a temporary one and a cluster an error."""
     folder = spark.conf.get(SETTING, None) or spark.sparkContext.getConf().get(SETTING)
     if not folder:
         folder = spark.sparkContext.getCheckpointDir()
     if not folder:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise ValueError(f"{SETTING} must name a folder that all executors of {master} share")
         folder = tempfile.mkdtemp(prefix="cohortlake-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
