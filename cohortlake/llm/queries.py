@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlake.llm import mixing, packing, token_counts
+from cohortlake.llm import extraction, mixing, near_duplicates, packing, substrings, token_counts, toxicity, urls
 from cohortlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,3 +103,48 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_token_counts")
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+
+
+REPEATS_SQL = r"""
+WITH w AS (
+  SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS ws FROM documents),
+e AS (SELECT doc_id, unnest(ws) AS word, unnest(generate_series(1, len(ws))) AS i, len(ws) AS n, ws FROM w),
+v AS (
+  SELECT doc_id, i, row_number() OVER (PARTITION BY array_to_string(ws[i:i + 19], ' ') ORDER BY doc_id, i) > 1 AS again
+  FROM e WHERE i + 19 <= n),
+c AS (
+  SELECT e.doc_id, e.i, e.word, coalesce(bool_or(v.again) OVER (
+    PARTITION BY e.doc_id ORDER BY e.i ROWS BETWEEN 19 PRECEDING AND CURRENT ROW), false) AS gone
+  FROM e LEFT JOIN v ON e.doc_id = v.doc_id AND e.i = v.i)
+SELECT w.doc_id, len(w.ws)::BIGINT AS n_words, (count(*) FILTER (c.gone))::BIGINT AS n_removed,
+  sha256(coalesce(string_agg(c.word, ' ' ORDER BY c.i) FILTER (NOT c.gone), '')) AS kept_sha256
+FROM w LEFT JOIN c ON w.doc_id = c.doc_id GROUP BY w.doc_id, w.ws
+"""
+
+
+@query("op7_substring_dedup", REPEATS_SQL)
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.removal_digest(table(spark, sf_dir, "documents"))
+
+
+@query("op9_minhash_near_dedup")
+def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.classes(table(spark, sf_dir, "documents"))
+
+
+@query("op5_html_extraction")
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op10_url_filter")
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
+@query("op8_toxicity")
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return toxicity.judge(docs.select("doc_id", "text"), labels).select(
+        "doc_id", F.round("severity", 6).alias("severity"), "rejected"
+    )
