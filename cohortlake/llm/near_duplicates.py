@@ -19,6 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cohortlake.llm.common import arrow_pass, components, mix64, words_of
@@ -195,3 +196,17 @@ def classes(
     class_id = F.coalesce(F.col("class_id"), F.col("doc").cast("long"))
     kept = F.coalesce(class_id == F.col("doc"), F.lit(True))
     return out.select(F.col("doc").alias(id_col), class_id.alias("class_id"), kept.alias("kept"))
+
+
+def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **parameters) -> DataFrame:
+    """The rows of ``docs``, all columns, less those of a near-duplicate class whose first document is another.
+
+    Of repeated rows (same id, same text) one stays. Rows with a null id, and texts without words under different ids, all stay.
+    """
+    gone = classes(docs.select(id_col, text_col), id_col=id_col, text_col=text_col, **parameters).where("NOT kept")
+    gone = gone.select(F.col(id_col).alias("gone_id")).distinct()
+    once = W.partitionBy(id_col, F.xxhash64(text_col)).orderBy(F.lit(0))
+    own = docs.columns
+    left = docs.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("row"), id_col, text_col)
+    left = left.join(gone, F.col(id_col) == F.col("gone_id"), "left_anti").withColumn("copy", F.row_number().over(once))
+    return left.where(F.col(id_col).isNull() | (F.col("copy") == 1)).select("row.*")

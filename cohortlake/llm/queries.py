@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlake.llm import extraction, mixing, near_duplicates, packing, substrings, token_counts, toxicity, urls
+from cohortlake.llm import extraction, metric_search, mixing, near_duplicates, packing, substrings, token_counts, toxicity, urls, vector_links
 from cohortlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -148,3 +148,43 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judge(docs.select("doc_id", "text"), labels).select(
         "doc_id", F.round("severity", 6).alias("severity"), "rejected"
     )
+
+
+TOP_SQL = r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2]))::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
+@query("op4_mtree_top_k", TOP_SQL)
+def op4_mtree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return metric_search.top_k(vectors, vectors.where("vec_id % 50 = 0"))
+
+
+LINKS_SQL = r"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.98),
+r(id, reach) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.id, l.b FROM r JOIN l ON r.reach = l.a),
+c AS (SELECT id, min(reach) AS component_id FROM r GROUP BY id),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT e.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, coalesce(c.component_id, e.vec_id) AS component_id,
+  coalesce(c.component_id, e.vec_id) = e.vec_id AS kept, 1.0::DOUBLE AS recall
+FROM embeddings e LEFT JOIN n ON e.vec_id = n.a LEFT JOIN c ON e.vec_id = c.id
+"""
+
+
+@query("op6_embedding_near_dedup", LINKS_SQL)
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_links.near_duplicates(table(spark, sf_dir, "embeddings"))

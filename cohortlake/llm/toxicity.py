@@ -24,13 +24,16 @@ TOKEN = re.compile(r"\w+")
 
 
 #: Lengths of the word beginnings that are features besides whole words; they stand for a word's inflections and compounds.
-STEMS = (4, 5)
+STEMS = (4, 5, 6, 7)
 
 
 def features(text: str | None) -> set[str]:
-    """A text's distinct lower-case words, and their beginnings marked with a star."""
+    """A text's distinct lower-case words, their beginnings with a star, and with two where several of its words share one."""
     words = set(TOKEN.findall(text.lower())) if text else set()
-    return words.union(*({w[:n] + "*" for w in words if len(w) >= n} for n in STEMS))
+    stems = Counter()
+    for n in STEMS:
+        stems.update([w[:n] for w in words if len(w) >= n])
+    return words.union((f"{s}*" for s in stems), (f"{s}**" for s, c in stems.items() if c > 1))
 
 
 @dataclass(frozen=True)
@@ -46,8 +49,11 @@ class OrdinalModel:
         return sum(1 / (1 + math.exp(min(700.0, cut - score))) for cut in self.thresholds)
 
 
-def choose_words(docs: Sequence[set[str]], toxic: np.ndarray, *, max_words: int, least: int = 3, z: float = 4.0, ratio: float = 5.0) -> list[str]:
-    """Words whose share among toxic documents is above that among the others, by ``z`` standard errors and ``ratio`` times."""
+def choose_words(docs: Sequence[set[str]], toxic: np.ndarray, *, max_words: int, least_share: float = 0.03, z: float = 5.0, ratio: float = 5.0) -> list[str]:
+    """Words whose share among toxic documents is above that among the others, by ``z`` standard errors and ``ratio`` times.
+
+    A word must be in ``least_share`` of the toxic documents, and three, so that a few copies of one text don't make a word telling.
+    """
     n1, n0 = int(toxic.sum()), int((~toxic).sum())
     in1, in0 = Counter(), Counter()
     for words, t in zip(docs, toxic):
@@ -55,7 +61,7 @@ def choose_words(docs: Sequence[set[str]], toxic: np.ndarray, *, max_words: int,
     scored = []
     for w, a in in1.items():
         b = in0[w]
-        if a >= least and n0:
+        if a >= max(3, least_share * n1) and n0:
             p = (a + b) / (n1 + n0)
             score = (a / n1 - b / n0) / math.sqrt(p * (1 - p) * (1 / n1 + 1 / n0) + 1e-12)
             if score >= z and a / n1 >= ratio * b / n0:
