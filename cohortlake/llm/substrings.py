@@ -59,23 +59,43 @@ def super_k_mers(hashes: np.ndarray, doc_of: np.ndarray, window: int, group: int
     return starts, stop - starts, least[starts]
 
 
+def planes(x: np.ndarray) -> bytes:
+    """The numbers byte by byte, all lowest bytes first: equal high bytes lie together and compress."""
+    return x.view(np.uint8).reshape(len(x), x.itemsize).T.tobytes()
+
+
+def from_planes(raw: bytes, kind: type, n: int, at: int) -> np.ndarray:
+    size = kind().itemsize
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8, n * size, at).reshape(size, n).T).view(kind).ravel()
+
+
 def pack_block(doc: np.ndarray, row: np.ndarray, at: np.ndarray, windows: np.ndarray, ids: np.ndarray, names: list[str]) -> bytes:
-    """One block: document numbers, row keys, starts, window counts and words of its super-k-mers, with its word list."""
-    used, local = np.unique(ids, return_inverse=True)
-    words = "\x20".join([names[i] for i in used.tolist()]).encode()
+    """One block: document numbers, row keys, starts, window counts and words of its super-k-mers, with its word list.
+
+    Words are numbered by how often they occur; documents and row keys are listed once per run of super-k-mers.
+    """
+    used, local, count = np.unique(ids, return_inverse=True, return_counts=True)
+    order = np.argsort(-count, kind="stable")
+    place = np.empty(len(used), np.int64)
+    place[order] = np.arange(len(used))
+    words = "\x20".join([names[i] for i in used[order].tolist()]).encode("utf-8", "surrogatepass")
     kind = np.uint16 if len(used) < 1 << 16 else np.uint32
-    head = np.asarray([len(doc), len(ids), len(words), kind().itemsize], np.int64)
-    parts = (head, doc.astype(np.int64), row.astype(np.int64), at.astype(np.int32), windows.astype(np.int32), local.astype(kind))
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(p.tobytes() for p in parts) + words)
+    new = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (row[1:] != row[:-1])))
+    runs = np.diff(np.append(new, len(doc))).astype(np.int32)
+    head = np.asarray([len(doc), len(new), len(ids), len(words), kind().itemsize], np.int64)
+    parts = (doc[new].astype(np.int64), row[new].astype(np.int64), runs, at.astype(np.int32), windows.astype(np.int32), place[local].astype(kind))
+    return zstandard.ZstdCompressor(level=3).compress(head.tobytes() + b"".join(map(planes, parts)) + words)
 
 
 def unpack_block(block: bytes) -> tuple:
     raw = zstandard.ZstdDecompressor().decompress(block)
-    n, m, w, size = np.frombuffer(raw, np.int64, 4).tolist()
-    doc, row = np.frombuffer(raw, np.int64, n, 32), np.frombuffer(raw, np.int64, n, 32 + 8 * n)
-    at, windows = np.frombuffer(raw, np.int32, n, 32 + 16 * n), np.frombuffer(raw, np.int32, n, 32 + 20 * n)
-    ids = np.frombuffer(raw, np.uint16 if size == 2 else np.uint32, m, 32 + 24 * n)
-    return doc, row, at, windows, ids, raw[len(raw) - w :].split(b"\x20") if w else []
+    n, d, m, w, size = np.frombuffer(raw, np.int64, 5).tolist()
+    to, parts = 40, []
+    for kind, k in ((np.int64, d), (np.int64, d), (np.int32, d), (np.int32, n), (np.int32, n), (np.uint16 if size == 2 else np.uint32, m)):
+        parts.append(from_planes(raw, kind, k, to))
+        to += k * kind().itemsize
+    doc, row, runs, at, windows, ids = parts
+    return np.repeat(doc, runs), np.repeat(row, runs), at, windows, ids, raw[len(raw) - w :].split(b"\x20") if w else []
 
 
 def repeats(ids: np.ndarray, starts: np.ndarray, doc: np.ndarray, at: np.ndarray, window: int) -> np.ndarray:
