@@ -7,8 +7,8 @@ agree on a coordinate with the probability of their weighted Jaccard similarity.
 element, so a signature costs about one pass over the shingles. Bands of coordinates make buckets.
 
 Inside a bucket no two members are paired for being there: all are compared with the smallest. Similarity being one
-minus a metric, the distances found bound the others, and only what they leave open between separate components is
-compared exactly.
+minus a metric, the distances found bound the others, and what they leave open between separate components is compared
+exactly, in blocks of a bucket's members, of which only links that join components come out.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -137,6 +138,63 @@ def verified(pairs: DataFrame, docs: DataFrame, *, id_col: str, text_col: str, s
     return materialise(out, "verified")
 
 
+def open_links(rows: pa.Table, threshold: float) -> pa.Table:
+    """Links of strays to a block's members in other components: one per stray and component that has any.
+
+    Distances to the bucket's leader and sizes rule most members out; what they leave is counted exactly.
+    """
+    ids, component, s = (rows[c].to_numpy() for c in ("id", "component", "s"))
+    cells = [np.frombuffer(x.as_py(), np.uint64) for x in rows["cells"]]
+    asks, member = rows["asks"].to_numpy(zero_copy_only=False).astype(bool), ~rows["asks"].to_numpy(zero_copy_only=False).astype(bool)
+    sizes = np.asarray([len(x) for x in cells])
+    _, flat = np.unique(np.concatenate(cells), return_inverse=True)
+    begin = np.cumsum(sizes) - sizes
+    mark = np.zeros(flat.max() + 1, bool)
+    same: dict[int, int] = {}
+
+    def root(c: int) -> int:
+        while c in same:
+            c = same[c]
+        return c
+
+    a, b = [], []
+    for x in np.flatnonzero(asks).tolist():
+        able = member & (component != component[x]) & (np.abs(s - s[x]) <= 1 - threshold + 1e-9)
+        able &= np.minimum(sizes, sizes[x]) >= threshold * np.maximum(sizes, sizes[x])
+        if not able.any():
+            continue
+        own = flat[begin[x] : begin[x] + sizes[x]]
+        mark[own] = True
+        both = np.add.reduceat(mark[flat], begin)
+        mark[own] = False
+        for y in np.flatnonzero(able & (both >= threshold * (sizes + sizes[x] - both) - 1e-9)).tolist():
+            if both[y] / (sizes[x] + sizes[y] - both[y]) >= threshold:
+                p, q = root(int(component[x])), root(int(component[y]))
+                if p != q:
+                    same[max(p, q)] = min(p, q)
+                    a.append(int(ids[x]))
+                    b.append(int(ids[y]))
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def linked_in_buckets(known: DataFrame, docs: DataFrame, *, id_col: str, text_col: str, shingle: int, threshold: float, block: int = 1024) -> DataFrame:
+    """Links ``a, b`` that join components within buckets; members go in blocks, and a bucket's strays to each of them."""
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(known.select("id").distinct(), "id", "left_semi")
+
+    def cut(batches: Iterator[dict]) -> Iterator[dict]:
+        words: dict[str, int] = {}
+        for b in batches:
+            yield {"id": b["id"], "cells": [shingle_cells(word_hashes(words_of(t.as_py()), words), shingle).tobytes() for t in b["text"]]}
+
+    cells = materialise(arrow_pass(texts, cut, "id long, cells binary"), "cells").dropDuplicates(["id"])
+    pieces = F.ceil(F.col("n") / block).cast("int")
+    placed = known.withColumn("piece", F.array(F.pmod(F.xxhash64("id"), pieces).cast("int"))).withColumn("asks", F.lit(False))
+    asking = known.where("stray").withColumn("piece", F.sequence(F.lit(0), pieces - 1)).withColumn("asks", F.lit(True))
+    rows = placed.unionByName(asking).withColumn("piece", F.explode("piece")).join(cells, "id")
+    rows = rows.select("bucket", "piece", "id", "component", "s", "asks", "cells")
+    return rows.groupBy("bucket", "piece").applyInArrow(lambda t: open_links(t, threshold), "a long, b long")
+
+
 def classes(
     docs: DataFrame,
     *,
@@ -168,26 +226,18 @@ def classes(
     links = stars.where(F.col("similarity") >= threshold).select("a", "b")
     found = materialise(components(links, "a", "b"), "classes")
 
-    # what the stars leave open: two members of a bucket in different components whose distances allow a link
+    # what the stars leave open: members of a bucket in another component than its leader, against all members
     known = members.join(stars.select(F.col("a").alias("leader"), F.col("b").alias("id"), "similarity"), ["leader", "id"], "left")
-    own = F.coalesce("component_id", "id")
-    known = known.join(found, "id", "left").select("bucket", "id", "leader", own.alias("component"), F.coalesce("similarity", F.lit(1.0)).alias("s"))
-    of_leader = found.select(F.col("id").alias("leader"), F.col("component_id").alias("of_leader"))
-    known = known.join(of_leader, "leader", "left").withColumn("of_leader", F.coalesce("of_leader", "leader"))
-    strays = known.where("component != of_leader and id != leader")
-    left, right = strays.alias("x"), known.where("id != leader").alias("y")
-    slack = 1 - threshold + 1e-9
-    open_pairs = (
-        left.join(right, F.col("x.bucket") == F.col("y.bucket"))
-        .where((F.col("x.component") != F.col("y.component")) & (F.abs(F.col("x.s") - F.col("y.s")) <= slack))
-        .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
-        .distinct()
+    known = known.join(found, "id", "left").select(
+        "bucket", "id", "leader", F.coalesce("component_id", "id").alias("component"), F.coalesce("similarity", F.lit(1.0)).alias("s")
     )
-    open_pairs = materialise(open_pairs, "open")
-    if open_pairs.limit(1).count():
-        more = verified(open_pairs, docs, id_col=id_col, text_col=text_col, shingle=shingle)
-        links = links.unionByName(more.where(F.col("similarity") >= threshold).select("a", "b"))
-        found = materialise(components(links, "a", "b"), "classes")
+    of_leader = found.select(F.col("id").alias("leader"), F.col("component_id").alias("of_leader"))
+    known = known.join(of_leader, "leader", "left").withColumn("stray", F.col("component") != F.coalesce("of_leader", "leader"))
+    open_buckets = known.groupBy("bucket").agg(F.count("*").alias("n"), F.max("stray").alias("some")).where("some AND n > 2")
+    known = materialise(known.join(open_buckets.select("bucket", "n"), "bucket"), "open")
+    if known.limit(1).count():
+        more = linked_in_buckets(known, docs, id_col=id_col, text_col=text_col, shingle=shingle, threshold=threshold)
+        found = materialise(components(links.unionByName(more), "a", "b"), "classes")
 
     of_text = firsts.join(found.withColumnRenamed("id", "rep"), "rep", "left").select("d1", "d2", F.coalesce("component_id", "rep").alias("class_id"))
     of_doc = signed.select("id", "d1", "d2").distinct().join(of_text, ["d1", "d2"]).groupBy("id").agg(F.min("class_id").alias("class_id"))
