@@ -160,9 +160,12 @@ def information_value(bins: Sequence[Bin], smoothing: float = 0.5) -> float:
     return sum((g / sum(goods) - b / sum(bads)) * w for g, b, w in pairs)
 
 
-def by_bin(variable: str, bins: Sequence[Bin], values: Sequence[float]) -> Column:
-    """The value of the bin a row falls into: a short literal CASE, no join."""
-    c = F.col(variable).cast("double")
+def by_bin(variable: str, bins: Sequence[Bin], values: Sequence[float], unseen: float = 0.0) -> Column:
+    """The value of the bin a row falls into: a short literal CASE, no join. NaN is missing, as in ``bin_counts``.
+
+    ``unseen`` is for a missing value that training never saw: it carries no evidence, which is WoE 0.
+    """
+    c = F.nanvl(F.col(variable).cast("double"), F.lit(None).cast("double"))
     expr = F.when(F.lit(False), F.lit(None).cast("double"))
     for b, value in zip(bins, values):
         if b.missing:
@@ -171,8 +174,7 @@ def by_bin(variable: str, bins: Sequence[Bin], values: Sequence[float]) -> Colum
             low = F.lit(True) if b.low == -math.inf else c >= F.lit(b.low)
             high = F.lit(True) if b.high == math.inf else c < F.lit(b.high)
             expr = expr.when(c.isNotNull() & low & high, F.lit(float(value)))
-    # NULL that training never saw carries no evidence either way.
-    return F.coalesce(expr, F.lit(0.0))
+    return F.coalesce(expr, F.lit(float(unseen)))
 
 
 def woe_transform(df: DataFrame, fitted: Mapping[str, Sequence[Bin]], suffix: str = "_woe") -> DataFrame:

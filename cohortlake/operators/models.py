@@ -17,8 +17,23 @@ from pyspark.sql import functions as F
 from cohortlake import config as cfg
 
 
+#: Where trees see a missing value: below every other, so that it can have a branch of its own.
+MISSING_VALUE = -1.0e30
+
+
 def _vectors(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    return VectorAssembler(inputCols=list(features), outputCol="_x", handleInvalid="skip").transform(df)
+    """For linear statistics: a missing value is an error, as leaving rows out would go unseen. Transform to WoE first."""
+    return VectorAssembler(inputCols=list(features), outputCol="_x", handleInvalid="error").transform(df)
+
+
+def tree_vectors(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """For trees: every row, NULL and NaN as a value below all others."""
+    filled = {}
+    for i, f in enumerate(features):
+        c = F.col(f"`{f}`").cast("double")
+        filled[f"_f{i}"] = F.when(c.isNull() | F.isnan(c), F.lit(MISSING_VALUE)).otherwise(c)
+    assembler = VectorAssembler(inputCols=list(filled), outputCol="_x", handleInvalid="error")
+    return assembler.transform(df.withColumns(filled)).drop(*filled)
 
 
 def correlation_matrix(df: DataFrame, features: Sequence[str]) -> np.ndarray:
@@ -87,7 +102,8 @@ def forward_selection(
 ) -> LogisticFit | None:
     """Add the feature that lowers the AIC most while it is significant and its family has room.
 
-    Each candidate is one distributed fit; store ``df`` in a table before calling.
+    Stops when no open feature qualifies or at ``max_features``, the target length of the scorecard; a result of that length
+    was stopped by it. Each candidate is one distributed fit; store ``df`` in a table before calling.
     """
     family = family or {}
     best: LogisticFit | None = None
@@ -105,9 +121,10 @@ def forward_selection(
 
 def fit_challenger(df: DataFrame, features: Sequence[str], target: str = "target", rounds: int = 20, depth: int = 3):
     gbt = GBTClassifier(featuresCol="_x", labelCol=target, maxIter=rounds, maxDepth=depth, seed=42)
-    return gbt.fit(_vectors(df, features))
+    return gbt.fit(tree_vectors(df, features))
 
 
 def score_challenger(model, df: DataFrame, features: Sequence[str], name: str = "pd_challenger") -> DataFrame:
-    scored = model.transform(_vectors(df, features))
+    """Every row scored; missing values take the branch that training gave them."""
+    scored = model.transform(tree_vectors(df, features))
     return scored.withColumn(name, vector_to_array("probability")[1]).drop("_x", "rawPrediction", "probability", "prediction")

@@ -65,12 +65,10 @@ def _exact_profile(df: DataFrame) -> DataFrame:
 
 def null_counts(df: DataFrame) -> DataFrame:
     """``(column, n_valid, n_null)``: complete and missing cells per column, one pass."""
-    counted = df.agg(F.count(F.lit(1)).alias("n_rows"), *[F.count(F.col(c)).alias(c) for c in df.columns])
+    counted = df.agg(F.count(F.lit(1)).alias("all"), *[F.count(F.col(f"`{c}`")).alias(f"v{i}") for i, c in enumerate(df.columns)])
     structs = [
-        F.struct(
-            F.lit(c).alias("column"), F.col(c).alias("n_valid"), (F.col("n_rows") - F.col(c)).alias("n_null")
-        )
-        for c in df.columns
+        F.struct(F.lit(c).alias("column"), F.col(f"v{i}").alias("n_valid"), (F.col("all") - F.col(f"v{i}")).alias("n_null"))
+        for i, c in enumerate(df.columns)
     ]
     return counted.select(_as_rows(structs))
 

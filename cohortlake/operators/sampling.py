@@ -62,17 +62,22 @@ def stratified_split(
     """'train' / 'test' with the same share in every stratum.
 
     Rows are ordered by a hash of their key; the share's exact quantile of that hash within each
-    stratum is the threshold. Same data and seed, same split.
+    stratum is the threshold. Same data and seed, same split. Rows of no given stratum, NULL included, are one more.
     """
     digest = fx.hash_bucket(key, seed, 2**31 - 1).cast("double")
     marked = df.withColumn("_h", digest)
-    per_stratum = marked.select(*[F.when(F.col(stratum) == s, F.col("_h")).alias(f"h{i}") for i, s in enumerate(strata)])
-    cuts = exact_quantiles(per_stratum, {f"h{i}": [train_share] for i in range(len(strata))})
+    inside = [F.coalesce(F.col(stratum) == s, F.lit(False)) for s in strata]
+    rest = F.lit(True)
+    for condition in inside:
+        rest = rest & ~condition
+    groups = [*inside, rest]
+    per_stratum = marked.select(*[F.when(g, F.col("_h")).alias(f"h{i}") for i, g in enumerate(groups)])
+    cuts = exact_quantiles(per_stratum, {f"h{i}": [train_share] for i in range(len(groups))})
     threshold = F.lit(None).cast("double")
-    for i, s in enumerate(strata):
+    for i, g in enumerate(groups):
         cut = cuts[f"h{i}"][0]
         if cut is not None:
-            threshold = F.when(F.col(stratum) == s, F.lit(cut)).otherwise(threshold)
+            threshold = F.when(g, F.lit(cut)).otherwise(threshold)
     side = F.when(F.col("_h") <= threshold, "train").when(threshold.isNotNull(), "test")
     return marked.withColumn(name, side).drop("_h")
 

@@ -53,9 +53,16 @@ def points(
     }
 
 
+def neutral_points(bins: Sequence[Bin], values: Sequence[float]) -> float:
+    """Points at WoE 0: points are linear in WoE, so two bins of different WoE give the line."""
+    pairs = sorted(zip(woe_of(bins), values))
+    (w0, p0), (w1, p1) = pairs[0], pairs[-1]
+    return p0 if w0 == w1 else p0 - w0 * (p1 - p0) / (w1 - w0)
+
+
 def with_points(df: DataFrame, fitted: Mapping[str, Sequence[Bin]], table: Mapping[str, Sequence[float]]) -> DataFrame:
-    """``<variable>_points`` per variable and their sum ``score``."""
-    given = {f"{v}_points": by_bin(v, fitted[v], values) for v, values in table.items()}
+    """``<variable>_points`` per variable and their sum ``score``; a missing value unseen in training has the points of WoE 0."""
+    given = {f"{v}_points": by_bin(v, fitted[v], values, neutral_points(fitted[v], values)) for v, values in table.items()}
     scored = df.withColumns(given)
     total = sum((F.col(c) for c in given), F.lit(0.0))
     return scored.withColumn("score", total)

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlake.functions.running import bucketed
+from cohortlake.operators.models import tree_vectors
 
 # Lower score edge of each bucket, riskiest first.
 BUCKETS = {"E": None, "D": 500.0, "C": 550.0, "B": 600.0, "A2": 650.0, "A1": 700.0}
@@ -72,7 +72,7 @@ def fit_tree(
     Variance of a 0/1 target splits exactly as Gini impurity does, but keeps leaves apart that
     differ in bad rate and would all be called good by a classifier.
     """
-    vectors = VectorAssembler(inputCols=list(features), outputCol="_x", handleInvalid="skip").transform(df)
+    vectors = tree_vectors(df, features)
     tree = DecisionTreeRegressor(
         featuresCol="_x",
         labelCol=target,
@@ -87,7 +87,7 @@ def fit_tree(
 
 def leaf_table(model: DecisionTreeRegressionModel, df: DataFrame, features: Sequence[str], target: str = "target") -> DataFrame:
     """Rows, share, bad rate and feature ranges per leaf: the rule table."""
-    vectors = VectorAssembler(inputCols=list(features), outputCol="_x", handleInvalid="skip").transform(df)
+    vectors = tree_vectors(df, features)
     placed = model.transform(vectors).withColumn("leaf", F.col("_leaf").cast("int"))
     ranges = [agg(f).alias(f"{label}_{f}") for f in features for label, agg in (("min", F.min), ("max", F.max))]
     leaves = placed.groupBy("leaf").agg(F.count(F.lit(1)).alias("n"), F.avg(target).alias("bad_rate"), *ranges)

@@ -269,3 +269,30 @@ def test_inquiries_and_income(spark):
         "n_inquiries_3m", "n_inquiries_12m", "inquiry_velocity", "dti_bureau"
     )
     assert [tuple(r) for r in got.collect()] == [(3, 6, 0.5, 0.5), (0, 0, None, None)]
+
+
+def test_missing_values_are_rows_like_others(spark):
+    import math
+
+    from cohortlake.operators import models, profiling, sampling, scaling, strategy
+    from cohortlake.operators.binning import Bin, by_bin, woe_of
+
+    data = [(i, None if i % 4 == 0 else float("nan") if i % 4 == 1 else float(i % 7), i % 3 % 2, None if i % 5 == 0 else i % 2) for i in range(400)]
+    df = spark.createDataFrame(data, "k long, n_rows double, target int, s int")
+    model = models.fit_challenger(df, ["n_rows"], rounds=2)
+    assert models.score_challenger(model, df, ["n_rows"]).count() == 400
+    tree = strategy.fit_tree(df, ["n_rows"])
+    assert sum(r.n for r in strategy.leaf_table(tree, df, ["n_rows"]).collect()) == 400
+    with pytest.raises(Exception):
+        models.correlation_matrix(df, ["n_rows", "k"])
+    assert sampling.stratified_split(df, "k", "s", [0, 1]).where("split IS NULL").count() == 0
+    assert {r["column"]: r.n_null for r in profiling.null_counts(df).collect()} == {"k": 0, "n_rows": 100, "target": 0, "s": 80}
+    bins = [Bin(-math.inf, 3.0, 100, 10), Bin(3.0, math.inf, 100, 30)]
+    table = scaling.points({"n_rows": bins}, {"n_rows": -0.8}, -1.5)
+    scored = scaling.with_points(df, {"n_rows": bins}, table)
+    scale = scaling.Scale()
+    neutral = scale.offset + 1.5 * scale.factor
+    missing = {round(r.score, 6) for r in scored.where("n_rows IS NULL OR isnan(n_rows)").collect()}
+    assert missing == {round(neutral, 6)}
+    got = {r.w for r in df.where("isnan(n_rows)").select(by_bin("n_rows", bins, woe_of(bins)).alias("w")).collect()}
+    assert got == {0.0}
