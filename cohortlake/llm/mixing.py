@@ -102,7 +102,7 @@ def mix(
     share: float = 1.5,
     max_epochs: int = 2,
     block_words: int = 32,
-    shard_words: int = 1 << 22,
+    shard_words: int = 1 << 19,
     seed: str = "mix-1",
     keep: Sequence[str] = (),
 ) -> DataFrame:

@@ -45,7 +45,7 @@ l AS (
   FROM s WINDOW b AS (ORDER BY source_size * 1.0::DOUBLE / w, encode(source) NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
     a AS (ORDER BY source_size * 1.0::DOUBLE / w, encode(source) NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
 t AS (
-  SELECT source, source_size, greatest(ceil(source_size / 4194304), 1)::BIGINT AS shards,
+  SELECT source, source_size, greatest(ceil(source_size / 524288), 1)::BIGINT AS shards,
     least(coalesce(first_value(CASE WHEN lev * w <= cap THEN lev END IGNORE NULLS) OVER (
       ORDER BY source_size * 1.0::DOUBLE / w, encode(source) NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) * w, cap), cap)::DOUBLE AS target
   FROM l),
