@@ -49,24 +49,17 @@ class OrdinalModel:
         return sum(1 / (1 + math.exp(min(700.0, cut - score))) for cut in self.thresholds)
 
 
-def choose_words(docs: Sequence[set[str]], toxic: np.ndarray, *, max_words: int, least_share: float = 0.03, z: float = 5.0, ratio: float = 5.0) -> list[str]:
+def telling_words(counts: DataFrame, n1: int, n0: int, *, max_words: int, least_share: float = 0.03, z: float = 5.0, ratio: float = 5.0) -> list[str]:
     """Words whose share among toxic documents is above that among the others, by ``z`` standard errors and ``ratio`` times.
 
-    A word must be in ``least_share`` of the toxic documents, and three, so that a few copies of one text don't make a word telling.
+    ``counts`` has a row ``word, a, b`` per word: in how many toxic and other documents it is. A word must be in
+    ``least_share`` of the toxic documents, and three, so that a few copies of one text don't make a word telling.
     """
-    n1, n0 = int(toxic.sum()), int((~toxic).sum())
-    in1, in0 = Counter(), Counter()
-    for words, t in zip(docs, toxic):
-        (in1 if t else in0).update(words)
-    scored = []
-    for w, a in in1.items():
-        b = in0[w]
-        if a >= max(3, least_share * n1) and n0:
-            p = (a + b) / (n1 + n0)
-            score = (a / n1 - b / n0) / math.sqrt(p * (1 - p) * (1 / n1 + 1 / n0) + 1e-12)
-            if score >= z and a / n1 >= ratio * b / n0:
-                scored.append((-score, w))
-    return [w for _, w in sorted(scored)[:max_words]]
+    p = (F.col("a") + F.col("b")) / (n1 + n0)
+    score = (F.col("a") / n1 - F.col("b") / n0) / F.sqrt(p * (1 - p) * (1 / n1 + 1 / n0) + 1e-12)
+    enough = (F.col("a") >= max(3, least_share * n1)) & (F.col("a") / n1 >= ratio * F.col("b") / n0)
+    found = counts.where(enough).withColumn("z", score).where(F.col("z") >= z)
+    return [r["word"] for r in found.orderBy(F.desc("z"), "word").limit(max_words).collect()]
 
 
 def grades_of(docs: Sequence[set[str]], toxic: np.ndarray, words: Sequence[str], cuts: Sequence[int]) -> np.ndarray:
@@ -117,7 +110,7 @@ def fit(
 ) -> OrdinalModel:
     """Fits on a bounded sample: at most ``max_rows_per_label`` labelled documents of each label, in order of a hash of the id.
 
-    Only the sample's word sets reach the driver. Without documents of both labels the model finds nothing.
+    Only counts of telling words, and which of them a sampled document has, reach the driver. Without documents of both labels the model finds nothing.
     """
     known = labels.select(F.col(id_col).alias("lid"), (F.col(label_col) > 0).alias("toxic")).where("lid IS NOT NULL AND toxic IS NOT NULL")
     picked = None
@@ -126,16 +119,31 @@ def fit(
         picked = part if picked is None else picked.unionByName(part)
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(picked, F.col("id") == F.col("lid"))
 
+    def count(batches: Iterator[dict]) -> Iterator[dict]:
+        seen = {True: Counter(), False: Counter()}
+        for b in batches:
+            for t, toxic in zip(b["text"], b["toxic"].to_pylist()):
+                seen[toxic].update(features(t.as_py()))
+        words = list({**seen[True], **seen[False]})
+        yield {"word": words, "a": [seen[True][w] for w in words], "b": [seen[False][w] for w in words]}
+
+    sampled = source.select("id", "toxic", "text")
+    n = {r["toxic"]: r["count"] for r in sampled.groupBy("toxic").count().collect()}
+    chosen: list[str] = []
+    if n.get(True) and n.get(False):
+        counts = arrow_pass(sampled, count, "word string, a long, b long").groupBy("word").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+        chosen = telling_words(counts, n[True], n[False], max_words=max_words)
+    if not chosen:
+        return OrdinalModel({}, tuple(10.0 + k for k in range(len(cuts) + 1)))
+    wanted = frozenset(chosen)
+
     def words(batches: Iterator[dict]) -> Iterator[dict]:
         for b in batches:
-            yield {"id": b["id"].cast("int64"), "toxic": b["toxic"], "words": [sorted(features(t.as_py())) for t in b["text"]]}
+            yield {"id": b["id"].cast("int64"), "toxic": b["toxic"], "words": [sorted(features(t.as_py()) & wanted) for t in b["text"]]}
 
-    rows = arrow_pass(source.select("id", "toxic", "text"), words, "id long, toxic boolean, words array<string>").collect()
+    rows = arrow_pass(sampled, words, "id long, toxic boolean, words array<string>").collect()
     rows.sort(key=lambda r: (r["id"], r["words"]))
     sets, toxic = [set(r["words"]) for r in rows], np.asarray([r["toxic"] for r in rows], bool)
-    chosen = choose_words(sets, toxic, max_words=max_words) if toxic.any() and not toxic.all() else []
-    if not chosen:
-        return OrdinalModel({}, tuple(10.0 + k for k in range(len(cuts) + 1)))
     grade = grades_of(sets, toxic, chosen, cuts)
     x = np.asarray([[w in s for w in chosen] for s in sets], float)
     weights, thresholds = fit_ordinal(x, grade, len(cuts) + 2)
