@@ -139,11 +139,11 @@ def verified(pairs: DataFrame, docs: DataFrame, *, id_col: str, text_col: str, s
 
 
 def open_links(rows: pa.Table, threshold: float) -> pa.Table:
-    """Links of strays to a block's members in other components: one per stray and component that has any.
+    """Pairs ``a, b`` of components that a stray of one and a member of the block of the other link; those that others imply are left out.
 
     Distances to the bucket's leader and sizes rule most members out; what they leave is counted exactly.
     """
-    ids, component, s = (rows[c].to_numpy() for c in ("id", "component", "s"))
+    component, s = (rows[c].to_numpy() for c in ("component", "s"))
     cells = [np.frombuffer(x.as_py(), np.uint64) for x in rows["cells"]]
     asks, member = rows["asks"].to_numpy(zero_copy_only=False).astype(bool), ~rows["asks"].to_numpy(zero_copy_only=False).astype(bool)
     sizes = np.asarray([len(x) for x in cells])
@@ -172,13 +172,13 @@ def open_links(rows: pa.Table, threshold: float) -> pa.Table:
                 p, q = root(int(component[x])), root(int(component[y]))
                 if p != q:
                     same[max(p, q)] = min(p, q)
-                    a.append(int(ids[x]))
-                    b.append(int(ids[y]))
+                    a.append(int(component[x]))
+                    b.append(int(component[y]))
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
 def linked_in_buckets(known: DataFrame, docs: DataFrame, *, id_col: str, text_col: str, shingle: int, threshold: float, block: int = 1024) -> DataFrame:
-    """Links ``a, b`` that join components within buckets; members go in blocks, and a bucket's strays to each of them."""
+    """Pairs ``a, b`` of components to join, found within buckets; members go in blocks, and a bucket's strays to each of them."""
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(known.select("id").distinct(), "id", "left_semi")
 
     def cut(batches: Iterator[dict]) -> Iterator[dict]:
@@ -191,7 +191,7 @@ def linked_in_buckets(known: DataFrame, docs: DataFrame, *, id_col: str, text_co
     placed = known.withColumn("piece", F.array(F.pmod(F.xxhash64("id"), pieces).cast("int"))).withColumn("asks", F.lit(False))
     asking = known.where("stray").withColumn("piece", F.sequence(F.lit(0), pieces - 1)).withColumn("asks", F.lit(True))
     rows = placed.unionByName(asking).withColumn("piece", F.explode("piece")).join(cells, "id")
-    rows = rows.select("bucket", "piece", "id", "component", "s", "asks", "cells")
+    rows = rows.select("bucket", "piece", "component", "s", "asks", "cells")
     return rows.groupBy("bucket", "piece").applyInArrow(lambda t: open_links(t, threshold), "a long, b long")
 
 
@@ -237,7 +237,10 @@ def classes(
     known = materialise(known.join(open_buckets.select("bucket", "n"), "bucket"), "open")
     if known.limit(1).count():
         more = linked_in_buckets(known, docs, id_col=id_col, text_col=text_col, shingle=shingle, threshold=threshold)
-        found = materialise(components(links.unionByName(more), "a", "b"), "classes")
+        joined = components(more, "a", "b")  # of components, so only what strays touch goes through rounds again
+        into = joined.select(F.col("id").alias("component_id"), F.col("component_id").alias("into"))
+        moved = found.join(into, "component_id", "left").select("id", F.coalesce("into", "component_id").alias("component_id"))
+        found = materialise(moved.unionByName(joined).distinct(), "classes")
 
     of_text = firsts.join(found.withColumnRenamed("id", "rep"), "rep", "left").select("d1", "d2", F.coalesce("component_id", "rep").alias("class_id"))
     of_doc = signed.select("id", "d1", "d2").distinct().join(of_text, ["d1", "d2"]).groupBy("id").agg(F.min("class_id").alias("class_id"))
