@@ -1,11 +1,11 @@
 """Embedding near-duplicates by a robust-pruned flat graph over overlapping cluster shards.
 
-Equal vectors are one from the start. The rest go, within their label, to the shards of their nearest cluster centres;
+Equal vectors are one from the start. The rest go, within their label, to the shard of their nearest cluster centre and to all
+whose border they are near enough to for a link across it, so that every link lies inside some shard;
 every shard builds a graph in which each vector keeps near neighbours that no kept neighbour is much nearer to
 (robust pruning), and searches it for each of its vectors: greedily from the medoid and the vector's own place, then on from
-all vectors in range as long as that finds more. The shards' adjacency lists are united, and links found are followed over
-lists of shards that the vector was not in. Links are verified in double precision. A sample of
-vectors compared with all others gives the recall; if it is too low, more overlap is tried.
+all vectors in range as long as that finds more. What the search misses is taken from the shard's similarities. All is in
+double precision. A sample of vectors compared with all others checks the recall.
 """
 
 from __future__ import annotations
@@ -101,97 +101,110 @@ def range_search(graph: list[np.ndarray], sims: np.ndarray, starts: tuple[int, .
 
 
 def shard_work(rows: pa.Table, threshold: float, degree: int, alpha: float, beam: int) -> pa.Table:
-    """A shard's links (kind 0) and adjacency lists (kind 1), as pairs of ids."""
+    """A shard's links as pairs of ids, both ways: what the search finds, and what it misses of the shard's similarities."""
     ids = rows["id"].to_numpy()
     order = np.argsort(ids, kind="stable")
     ids, x = ids[order], matrix(rows["v"])[order]
     sims = x @ x.T
     graph = pruned_graph(sims, degree, alpha)
     medoid = int((x @ x.mean(axis=0)).argmax())
-    a, b = [], []
+    hit = np.zeros(sims.shape, bool)
     for p in range(len(ids)):
-        for q in range_search(graph, sims[p], (medoid, p), threshold, beam):
-            if q != p:
-                a.append(p)
-                b.append(q)
-    ea = np.repeat(np.arange(len(ids)), [len(g) for g in graph])
-    eb = np.concatenate(graph) if len(graph) else np.empty(0, int)
-    a, b = np.asarray(a, int), np.asarray(b, int)
-    kind = np.concatenate([np.zeros(len(a), np.int32), np.ones(len(ea), np.int32)])
-    shard = rows["shard"][0].as_py() if len(rows) else ""
-    return pa.table({
-        "shard": [shard] * len(kind), "kind": as_array(kind, pa.int32()),
-        "a": as_array(ids[np.concatenate([a, ea])], pa.int64()), "b": as_array(ids[np.concatenate([b, eb])], pa.int64()),
-    })
-
-
-def verified_pairs(pairs: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
-    """The pairs ``a, b`` of ids whose cosine reaches the threshold, in double precision."""
-    side = reps.select("id", "v")
-    both = pairs.join(side.withColumnsRenamed({"id": "a", "v": "va"}), "a").join(side.withColumnsRenamed({"id": "b", "v": "vb"}), "b")
-
-    def check(batches: Iterator[dict]) -> Iterator[dict]:
-        for t in batches:
-            good = (matrix(t["va"]) * matrix(t["vb"])).sum(axis=1) >= threshold
-            yield {"a": t["a"].filter(pa.array(good)), "b": t["b"].filter(pa.array(good))}
+        hit[p, range_search(graph, sims[p], (medoid, p), threshold, beam)] = True
+    hit |= sims >= threshold - 1e-9
+    a, b = np.nonzero(hit)
+    close = np.abs(sims[a, b] - threshold) < 1e-9  # decided alike in every shard and both ways
+    good = sims[a, b] >= threshold
+    good[close] = (x[a[close]] * x[b[close]]).sum(axis=1) >= threshold
+    good &= ids[a] != ids[b]
+    return pa.table({"a": as_array(ids[a[good]], pa.int64()), "b": as_array(ids[b[good]], pa.int64())})
+
+
+def members(x: np.ndarray, c: np.ndarray, margin: float) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of ``x`` and the cells of centres ``c`` they belong to: the nearest, and all whose border is within ``margin``."""
+    g = x @ c.T - (c * c).sum(axis=1) / 2
+    home = g.argmax(axis=1)
+    apart = np.sqrt(np.maximum(((c[:, None] - c[None]) ** 2).sum(axis=2), 1e-24)) if len(c) <= 64 else np.sqrt(
+        np.maximum((c * c).sum(axis=1)[:, None] + (c * c).sum(axis=1) - 2 * c @ c.T, 1e-24)
+    )
+    return np.nonzero(g[np.arange(len(x)), home][:, None] - g <= margin * apart[home])
+
 
-    return arrow_pass(both, check, "a long, b long")
+def split_cells(rows: DataFrame, big: DataFrame, *, shard_rows: int, max_centres: int, sample_rows: int, margin: float) -> DataFrame:
+    """``id, v, cell, sub``: the rows of the cells in ``big`` (``cell, size``), dealt to cells of centres fitted to samples of them.
+
+    Centres travel to the rows as records of the same partitions, so neither the driver nor a broadcast holds them.
+    """
+    own = rows.join(big, "cell")
+    sample = own.where(F.pmod(F.xxhash64("id", F.lit("centres")), F.ceil(F.col("size") / sample_rows)) == 0)
 
+    def fit(t: pa.Table) -> pa.Table:
+        x = matrix(t["v"])[np.argsort(t["id"].to_numpy(), kind="stable")]
+        c = centres(x, min(-(-t["size"][0].as_py() // shard_rows), max_centres, len(x)))
+        return pa.table({"cell": t["cell"][:1], "c": pa.array([c.tobytes()], pa.binary())})
 
-def graph_links(reps: DataFrame, *, threshold: float, shard_rows: int, overlap: int, sample_rows: int, max_centres: int,
-                degree: int, alpha: float, beam: int) -> DataFrame:
-    """Directed links ``a, b`` between different vectors of one label, found over the united graph."""
-    counts = {r["label"]: r["n"] for r in reps.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    fitted = {}
-    per_label = max(64, sample_rows // max(1, len(counts)))
-    for label, n in sorted(counts.items()):
-        wanted = min(-(-n // shard_rows), max_centres, per_label)
-        if wanted > 1:
-            sample = reps.where(F.col("label") == label).orderBy(F.xxhash64("id"), "id").limit(per_label).select("v").toArrow()
-            fitted[label] = centres(matrix(sample["v"]), wanted)
-    shared = reps.sparkSession.sparkContext.broadcast(fitted)
+    fitted = sample.groupBy("cell").applyInArrow(fit, "cell string, c binary")
+    kind, lots = rows.schema["v"].dataType.simpleString(), F.ceil(F.col("size") / 20_000).cast("int")
+    heads = fitted.join(big, "cell").select("cell", F.explode(F.sequence(F.lit(0), lots - 1)).alias("lot"), F.lit(None).cast("long").alias("id"), F.lit(None).cast(kind).alias("v"), "c")
+    tails = own.select("cell", F.pmod(F.xxhash64("id", F.lit("lot")), lots).cast("int").alias("lot"), "id", "v", F.lit(None).cast("binary").alias("c"))
+    stream = heads.unionByName(tails).repartition("cell", "lot").sortWithinPartitions("cell", "lot", F.col("c").isNull())
 
     def deal(batches: Iterator[dict]) -> Iterator[dict]:
+        cell = c = None
         for t in batches:
-            x, labels = matrix(t["v"]), t["label"].to_pylist()
-            rows, cluster = [], []
-            for label in sorted(set(labels)):
-                own = np.flatnonzero(np.asarray(labels) == label)
-                c = shared.value.get(label)
-                near = np.zeros((len(own), 1), int) if c is None else np.argsort(-(x[own] @ c.T), axis=1, kind="stable")[:, :overlap]
-                rows.append(np.repeat(own, near.shape[1]))
-                cluster.append(near.ravel())
-            at = pa.array(np.concatenate(rows))
-            yield {"id": t["id"].take(at), "label": t["label"].take(at), "v": t["v"].take(at), "cluster": np.concatenate(cluster)}
-
-    kind = reps.schema["v"].dataType.simpleString()
-    dealt = materialise(arrow_pass(reps.select("id", "label", "v"), deal, f"id long, label long, v {kind}, cluster int"), "shards")
-    # a shard that is still too large is cut by hash; a few anchors in all its pieces keep the graph in one
-    sizes = dealt.groupBy("label", "cluster").agg(F.ceil(F.count("*") / (3 * shard_rows)).cast("int").alias("pieces"))
-    anchor = F.pmod(F.xxhash64("id", F.lit("anchor")), 16 * F.col("pieces")) == 0
-    piece = F.when((F.col("pieces") > 1) & anchor, F.sequence(F.lit(0), F.col("pieces") - 1)).otherwise(
-        F.array(F.pmod(F.xxhash64("id"), F.col("pieces")).cast("int"))
-    )
-    shards = dealt.join(sizes, ["label", "cluster"]).withColumn("piece", F.explode(piece))
-    shards = shards.select(F.concat_ws("-", "label", "cluster", "piece").alias("shard"), "id", "v")
-    work = shards.groupBy("shard").applyInArrow(
-        lambda rows: shard_work(rows, threshold, degree, alpha, beam), "shard string, kind int, a long, b long"
-    )
-    work = materialise(work, "graph")
-    links = materialise(work.where("kind = 0").select("a", "b").distinct(), "links")
-    edges = work.where("kind = 1").select("shard", "a", "b")
-    places = shards.select("shard", F.col("id").alias("a")).distinct()
-    fresh = links
-    for _ in range(4):  # over lists of shards the searching vector was not in
-        step = fresh.select("a", F.col("b").alias("via")).join(edges.select("shard", F.col("a").alias("via"), "b"), "via")
-        step = step.where("a != b").join(places, ["shard", "a"], "left_anti").select("a", "b").distinct().join(links, ["a", "b"], "left_anti")
-        one_way = verified_pairs(step, reps, threshold)
-        both = one_way.unionByName(one_way.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-        fresh = materialise(both.join(links, ["a", "b"], "left_anti"), "further")
-        if not fresh.limit(1).count():
-            break
-        links = materialise(links.unionByName(fresh), "links")
-    return links
+            n = len(t["cell"])
+            starts = np.flatnonzero(t["c"].is_valid().to_numpy(zero_copy_only=False))
+            cuts = sorted({0, n, *starts.tolist(), *(starts + 1).tolist(), *range(0, n, 2000)})
+            for low, high in zip(cuts, cuts[1:]):
+                if t["c"][low].is_valid:
+                    cell, c = t["cell"][low].as_py(), np.frombuffer(t["c"][low].as_py())
+                    continue
+                if t["cell"][low].as_py() != cell:
+                    continue  # no centres; the caller sees that the cell has no parts
+                x = matrix(t["v"].slice(low, high - low))
+                at, sub = members(x, c.reshape(-1, x.shape[1]), margin)
+                at = pa.array(at + low)
+                yield {"id": t["id"].take(at), "v": t["v"].take(at), "cell": t["cell"].take(at), "sub": sub}
+
+    return arrow_pass(stream, deal, f"id long, v {kind}, cell string, sub int")
+
+
+def shards_of(reps: DataFrame, *, threshold: float, shard_rows: int, sample_rows: int, max_centres: int) -> DataFrame:
+    """``shard, id, v``: every two vectors of a label whose cosine reaches the threshold are in a shard together.
+
+    A cell of more than three times ``shard_rows`` is split at the bisectors of its centres. Linked vectors in different
+    cells are ``reach`` apart at most, so one of them is within half of it of the bisector between, and belongs to both cells.
+    A cell that splitting does not make smaller (a ball of vectors all near each other) becomes blocks, each pair of them a shard.
+    """
+    most = 3 * shard_rows
+    margin = np.sqrt(max(0.0, 2 - 2 * threshold)) / 2 + 1e-6
+    todo = reps.select("id", "v", F.col("label").cast("string").alias("cell"))
+    out = None
+    while True:
+        sizes = materialise(todo.groupBy("cell").agg(F.count("*").alias("size")), "sizes")
+        ready = todo.join(sizes.where(F.col("size") <= most), "cell").select(F.col("cell").alias("shard"), "id", "v")
+        out = ready if out is None else out.unionByName(ready)
+        big = sizes.where(F.col("size") > most)
+        if not big.limit(1).count():
+            return out
+        parts = materialise(split_cells(todo, big, shard_rows=shard_rows, max_centres=max_centres, sample_rows=sample_rows, margin=margin), "cells")
+        n = F.col("n").cast("double")
+        made = parts.groupBy("cell", "sub").agg(F.count("*").alias("n")).groupBy("cell").agg(F.max(n).alias("top"), F.sum(n * n).alias("work"))
+        fine = (F.col("top") <= 0.7 * F.col("size")) & (F.col("work") <= 0.7 * F.col("size").cast("double") * F.col("size"))
+        judged = materialise(big.join(made, "cell", "left").select("cell", "size", F.coalesce(fine, F.lit(False)).alias("fine")), "judged")
+        blocks = F.ceil(F.col("size") / (most / 2)).cast("int")
+        own = F.pmod(F.xxhash64("id", F.lit("block")), F.col("blocks")).cast("int")
+        stuck = todo.join(judged.where("NOT fine"), "cell").withColumn("blocks", blocks).select("cell", "id", "v", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+        out = out.unionByName(stuck.select(F.concat_ws("-", "cell", F.least("own", "other"), F.greatest("own", "other")).alias("shard"), "id", "v"))
+        todo = parts.join(judged.where("fine").select("cell"), "cell", "left_semi").select("id", "v", F.concat_ws(".", "cell", "sub").alias("cell"))
+
+
+def graph_links(reps: DataFrame, *, threshold: float, shard_rows: int, sample_rows: int, max_centres: int, degree: int, alpha: float,
+                beam: int) -> DataFrame:
+    """Directed links ``a, b`` between different vectors of one label."""
+    shards = shards_of(reps, threshold=threshold, shard_rows=shard_rows, sample_rows=sample_rows, max_centres=max_centres)
+    work = shards.groupBy("shard").applyInArrow(lambda rows: shard_work(rows, threshold, degree, alpha, beam), "a long, b long")
+    return materialise(work.distinct(), "links")
 
 
 def recall_of(links: DataFrame, reps: DataFrame, *, threshold: float, queries: int) -> float:
@@ -221,7 +234,6 @@ def near_duplicates(
     label_col: str = "label",
     threshold: float = 0.98,
     shard_rows: int = 500,
-    overlap: int = 3,
     sample_rows: int = 16_384,
     max_centres: int = 1024,
     degree: int = 16,
@@ -234,7 +246,7 @@ def near_duplicates(
 
     Vectors that are null, zero or hold null or non-finite components, and those with a null label, link with nothing; each is its own component and
     kept. Equal vectors of one label link with each other and share all other links; repeated rows (same id) are one vector.
-    Vectors of different length do not link. Cluster centres come from at most ``sample_rows`` vectors; all are indexed. ``recall`` is
+    Vectors of different length do not link. Centres of each split come from about ``sample_rows`` vectors at most; all are indexed. ``recall`` is
     the audited share of true links found. Rows with null ids come back unlinked; an empty table gives an empty one; other
     columns are ignored.
     """
@@ -248,12 +260,11 @@ def near_duplicates(
     links = recall = None
     for d in sorted(r["d"] for r in firsts.select("d").distinct().collect()):
         reps = firsts.where(F.col("d") == d)
-        for factor in (1, 2, 4):
-            found = graph_links(reps, threshold=threshold, shard_rows=shard_rows, overlap=overlap * factor, sample_rows=sample_rows,
-                                max_centres=max_centres, degree=degree, alpha=alpha, beam=beam * factor)
-            r = recall_of(found, reps, threshold=threshold, queries=audit_queries)
-            if r >= min_recall:
-                break
+        found = graph_links(reps, threshold=threshold, shard_rows=shard_rows, sample_rows=sample_rows, max_centres=max_centres,
+                            degree=degree, alpha=alpha, beam=beam)
+        r = recall_of(found, reps, threshold=threshold, queries=audit_queries)
+        if r < min_recall:
+            raise RuntimeError(f"only {r:.3f} of the audited links were found")
         recall = r if recall is None else min(recall, r)
         links = found if links is None else links.unionByName(found)
     ids = vectors.select(F.col(id_col).alias("doc"), F.col(label_col).cast("long").alias("label"), x.alias("v"), F.xxhash64(x).alias("h"), good.alias("good"))

@@ -186,6 +186,26 @@ def test_vector_links(spark):
     assert vector_links.near_duplicates(df.where("false")).count() == 0
 
 
+def test_vector_links_of_isolated_pairs(spark):
+    """Every pair is alone, so nothing else leads to it; one label is a ball that no centres split."""
+    rng = np.random.default_rng(7)
+    base = rng.normal(size=(10_000, 16))
+    base[::2] = base[0] + 0.4 * base[::2]  # half of them crowd in one place
+    near = base + 0.16 / 4 * np.linalg.norm(base, axis=1, keepdims=True) * rng.normal(size=base.shape)
+    ball = 1 + 0.02 * rng.normal(size=(700, 16))
+    x = np.concatenate([base, near, ball]).astype(np.float32)
+    label = [0] * 20_000 + [1] * 700
+    df = spark.createDataFrame([(i, v, z) for i, (v, z) in enumerate(zip(x.tolist(), label))], "vec_id long, embedding array<float>, label int")
+    u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    got = {r.vec_id: r.n_links for r in vector_links.near_duplicates(df, shard_rows=200).collect()}
+    want = {}
+    for low, high in ((0, 20_000), (20_000, 20_700)):
+        for i in range(low, high, 1000):
+            n = (u[i : min(i + 1000, high)] @ u[low:high].T >= 0.98).sum(axis=1) - 1
+            want |= {i + k: int(v) for k, v in enumerate(n)}
+    assert sum(want.values()) > 5_000 and got == want
+
+
 def test_extraction(spark):
     article = "<article class=post><h1>T&amp;t</h1><p><b>One  two<br>three<p>Four</p><aside>no</aside><div class='comments'><p>bad</p></div></article>"
     frame = "<html><head><title>x</title><style>p{}</style><script>var a='<p>';</script></head><body><nav><li>menu</li></nav>"
