@@ -26,21 +26,40 @@ TOKENS = re.compile(r"<!--.*?(?:-->|\Z)|<[a-zA-Z/!?][^>]*(?:>|\Z)|[^<]+|<", re.S
 TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
 #: Elements whose content is not text of the page.
 RAW = frozenset("script style template noscript iframe svg math textarea select canvas object".split())
+#: Of these, those whose content has no tags: it runs to the element's literal end tag.
+RAW_TEXT = frozenset("script style noscript iframe textarea title".split())
 MAIN = frozenset(("article", "main"))
 FRAMES = frozenset(("nav", "footer", "aside", "form", "menu", "dialog", "button", "head", "title"))
 #: Elements that may be found open again when they end; paragraphs and inline elements need no place in the tree.
 TREE = RAW | MAIN | FRAMES | frozenset("header div section ul ol dl table figure body html".split())
 INLINE = frozenset("a abbr b bdi bdo big cite code del dfn em font i img ins kbd mark q s samp small span strike strong sub sup time tt u var wbr br".split())
+#: Elements whose end tag may be left out, by the elements whose start ends them, and those beyond which they stay open.
+CLOSES = {
+    "p": frozenset(("p",)), "li": frozenset(("li", "p")), "dt": frozenset(("dt", "dd", "p")), "dd": frozenset(("dt", "dd", "p")),
+    "tr": frozenset(("tr", "td", "th", "p")), "td": frozenset(("td", "th", "p")), "th": frozenset(("td", "th", "p")),
+}
+ENDS_P = frozenset(
+    "address article aside blockquote center details dialog dir div dl dt dd fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre search section table ul".split()
+)
+P_SCOPE = frozenset("table caption td th button object".split())
+SCOPES = {"li": frozenset(("ul", "ol", "menu")), "dt": frozenset(("dl",)), "dd": frozenset(("dl",)), "tr": frozenset(("table",)), "td": frozenset(("table", "tr")), "th": frozenset(("table", "tr"))}
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-#: Words of class, id and role that say that an element belongs to the frame.
+#: Whole names in class, id and role that say that an element belongs to the frame.
 FRAME_WORDS = re.compile(
-    r"""(?:^|[\s"'=_-])(?:ads?|adverts?|advertisement|sponsor(?:ed)?|promo|banner|cookies?|consent|notice|newsletter|subscribe|
-    comments?|disqus|share|social|sidebar|breadcrumbs?|menu|navigation|navbar|related|popup|modal|footer)(?=$|[\s"'_-])""", re.X | re.I
+    r"""ads?|adverts?|advertisement|sponsor(?:ed)?|promo|banner|cookies?|consent|notice|newsletter|subscribe|
+    comments?|disqus|share|social|sidebar|breadcrumbs?|menu|navigation|navbar|related|popup|modal|footer""", re.X | re.I
 )
+#: Elements that hold a page's text whatever they are called.
+NEVER_NAMED = frozenset("html body main article".split())
 NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 HIDDEN = re.compile(r"""\shidden(?=[\s>=/])|display\s*:\s*none""", re.I)
 
 
+def named_frame(token: str) -> bool:
+    """Whether a name in the tag's class, id or role is one of the frame's."""
+    return any(FRAME_WORDS.fullmatch(name) for value in NAMED.findall(token) for name in value.strip("\"'").split())
+
+
 def lines_of(page: str | None) -> tuple[list[str], list[int]]:
     """A page's lines, white space joined and trimmed, and the zone of each: open, text or frame."""
     lines: list[str] = []
@@ -55,7 +74,23 @@ def lines_of(page: str | None) -> tuple[list[str], list[int]]:
             lines.append(line)
             zones.append(zone)
 
-    for token in TOKENS.findall(page or ""):
+    def close(names: frozenset[str], scope: frozenset[str]) -> None:
+        """Ends the outermost open element of ``names`` that is inside the nearest of ``scope``."""
+        nonlocal zone
+        at = None
+        for k in range(len(stack) - 1, -1, -1):
+            if stack[k][0] in scope:
+                break
+            if stack[k][0] in names:
+                at = k
+        if at is not None:
+            zone = stack[at][1]
+            del stack[at:]
+
+    page, place = page or "", 0
+    while place < len(page):
+        token = TOKENS.match(page, place)[0]
+        place += len(token)
         if token[0] != "<" or len(token) == 1:
             if not skip:
                 parts.append(html.unescape(token))
@@ -64,6 +99,11 @@ def lines_of(page: str | None) -> tuple[list[str], list[int]]:
         if not found:
             continue  # a comment or a declaration
         ending, name = found[1] == "/", found[2].lower()
+        if not ending and name in RAW_TEXT and not token.endswith("/>"):
+            end = re.compile(rf"</{name}(?=[\s/>])", re.I).search(page, place)
+            raw, place = page[place : (end.start() if end else len(page))], end.start() if end else len(page)
+        else:
+            raw = ""
         if skip:
             if ending and name == skip:
                 skip = ""
@@ -80,17 +120,25 @@ def lines_of(page: str | None) -> tuple[list[str], list[int]]:
             if at is not None:
                 zone = stack[at][1]
                 del stack[at:]
-        elif name in RAW:
+            elif name in ENDS_P or name in CLOSES:
+                close(CLOSES["p"], P_SCOPE)
+            continue
+        if name in RAW:
             skip = name
-        elif name in TREE:
+            continue
+        if name in ENDS_P:
+            close(CLOSES["p"], P_SCOPE)
+        if name in SCOPES:
+            close(CLOSES[name], SCOPES[name])
+        if name in TREE:
             stack.append((name, zone))
             if zone != FRAME:
-                named = " ".join(NAMED.findall(token))
-                if name in FRAMES or name == "header" and zone == OPEN or named and FRAME_WORDS.search(named) or HIDDEN.search(token):
+                if name in FRAMES or name == "header" and zone == OPEN or name not in NEVER_NAMED and named_frame(token) or HIDDEN.search(token):
                     zone = FRAME
                 elif name in MAIN:
                     zone = TEXT
-        elif (named := " ".join(NAMED.findall(token))) and zone != FRAME and FRAME_WORDS.search(named):
+            parts.append(html.unescape(raw))
+        elif zone == FRAME or named_frame(token):
             stack.append((name, zone))
             zone = FRAME
     end_line()

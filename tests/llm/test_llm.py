@@ -232,6 +232,20 @@ def test_extraction(spark):
         assert len(found) == best[-1][-1] and found == sorted(set(found)) and all(a[i] in rest for i in found)
 
 
+@pytest.mark.parametrize(("page", "want"), [
+    ("<body><script>for(i=0;i<n;i++){}</script><article><p>Text</p></article>", "Text"),
+    ("<title>a <b</title><style>a<b{}</STYLE ><article><svg><script>x<y</script></svg><p>Text</p></article>", "Text"),
+    ('<body class="no-sidebar"><main id=share><p>Text</p></main>', "Text"),
+    ('<html class=modal><body class="menu"><article class="post share"><p>Text</p><div class="x ad">no</div></article>', "Text"),
+    ("<article><div class='share-price'>Text</div><p class=notice>no<p>More<blockquote><p class=ad>no</blockquote>End</article>", "Text\nMore\nEnd"),
+    ("<article><ul><li class=ad>no<ul><li>no</li><li>no</ul>no<li>Text</ul><table><tr><td class=ad>no<td>More<tr class=ad><td>no</table></article>", "Text\nMore"),
+    ("<article><dl><dt class=ad>no<dd>Text</dl></article>", "Text"),
+])
+def test_extraction_keeps_whole_articles(page, want):
+    lines, zones = extraction.lines_of(page)
+    assert "\n".join(x for x, z in zip(lines, zones) if z == extraction.TEXT) == want
+
+
 def removed_by_hand(rows, window=20):
     first: dict[tuple, tuple] = {}
     split = [(i, x, words_of(x)) for i, x, _ in rows]
