@@ -27,13 +27,15 @@ def bucketed(df: DataFrame, key: str, edges: Sequence[float], name: str) -> Data
 def running_totals(df: DataFrame, key: str, columns: Sequence[str], pieces: int = 200) -> DataFrame:
     """Add ``cum_<column>``, the sum over all rows with a smaller or equal ``key``, and ``total_<column>``.
 
-    ``key`` must be unique and numeric. A sketch cuts the axis into ``pieces`` ranges; each range
+    ``key`` must be unique and numeric; NaN comes after all numbers and NULL last, as pieces of their own. A sketch cuts the axis into ``pieces`` ranges; each range
     is summed on its own, and the totals of the ranges before it (a table of ``pieces`` rows) are
     added on top.
     """
     probs = [i / pieces for i in range(1, pieces)]
     cuts = df.approxQuantile(key, probs, 0.5 / pieces) if probs else []
-    parts = bucketed(df, key, cuts, "_piece")
+    last = len(cuts) + 1
+    missing = F.when(F.col(key).isNull(), last + 1).when(F.isnan(F.col(key).cast("double")), last)
+    parts = bucketed(df, key, cuts, "_piece").withColumn("_piece", F.coalesce(missing, "_piece"))
     totals = parts.groupBy("_piece").agg(*[F.sum(c).alias(f"_sum_{c}") for c in columns])
     earlier = Window.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.orderBy("_piece").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)

@@ -28,7 +28,10 @@ def score_points(df: DataFrame, score: str = "score", target: str = "target") ->
 
 
 def separation(df: DataFrame, score: str = "score", target: str = "target") -> DataFrame:
-    """KS, AUC, Gini and divergence in one row. Ties count half in the AUC."""
+    """KS, AUC, Gini and divergence in one row. Ties count half in the AUC.
+
+    Rows of a NaN score count as one score above all numbers; the divergence, made of means, is NaN then.
+    """
     # Stored once: the cut points, the piece totals and the curve all read it.
     points = materialise(score_points(df, score, target), "score_points")
     curve = running_totals(points, "score", ["bads", "goods"])

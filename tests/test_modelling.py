@@ -1,4 +1,5 @@
 import math
+import random
 
 import numpy as np
 import pytest
@@ -13,6 +14,26 @@ from tests.conftest import rows
 # -- running totals -----------------------------------------------------------------------
 
 
+@pytest.mark.parametrize("pieces", [1, 2, 7, 200])
+def test_running_totals_of_missing_keys(spark, pieces):
+    data = [(float(i), 1) for i in range(50)] + [(float("nan"), 10), (None, 100)]
+    df = spark.createDataFrame(data, "k double, v int")
+    got = {repr(r.k): (r.cum_v, r.total_v) for r in running_totals(df, "k", ["v"], pieces).collect()}
+    assert got == {**{repr(float(i)): (i + 1, 160) for i in range(50)}, "nan": (60, 160), "None": (160, 160)}
+
+
+def test_separation_of_nan_scores(spark):
+    rng = random.Random(1)
+    data = [(float("nan") if i % 10 == 0 else float(rng.randint(0, 300)), int(rng.random() < 0.3)) for i in range(1000)]
+    got = validation.separation(spark.createDataFrame(data, "score double, target int")).first()
+    place = [(float("inf") if s != s else s, t) for s, t in data]
+    bads, goods = [s for s, t in place if t], [s for s, t in place if not t]
+    wrong = sum((g < b) + (g == b) / 2 for b in bads for g in goods)
+    ks = max(abs(sum(b <= s for b in bads) / len(bads) - sum(g <= s for g in goods) / len(goods)) for s in {s for s, _ in place})
+    assert (got.n, got.n_bads) == (1000, len(bads)) and got.ks == pytest.approx(ks)
+    assert got.auc == pytest.approx(1 - wrong / len(bads) / len(goods)) and got.gini == pytest.approx(2 * got.auc - 1)
+
+
 @pytest.mark.parametrize("pieces", [1, 2, 7, 200])
 def test_running_totals(spark, pieces):
     values = [(float(k), (k * 37) % 11) for k in range(500)]
