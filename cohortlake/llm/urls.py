@@ -1,7 +1,7 @@
 """URL verdicts: longest-match rules first, then naive Bayes over host words and path tokens.
 
 Hosts are names run together, so each part of a host is split into words by unigram Viterbi: the split of highest
-probability under word counts of the pages themselves. A multinomial naive Bayes model over hashed tokens scores the
+probability under word counts of the pages themselves. A multinomial naive Bayes model over all tokens scores the
 words. It is trained on all pages, those on hosts with a word from a short blocked list being its positive examples, so
 that words which keep such company count against a host too.
 """
@@ -10,15 +10,13 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
-from functools import lru_cache
 
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortlake.llm.common import arrow_pass
+from cohortlake.sources.workspace import materialise
 
 #: Verdict, host and path; a rule holds for the host and its subdomains and for paths that start with the path.
 RULES = (
@@ -50,28 +48,26 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str, str]]) -
     return name, verdict
 
 
-def word_counts(texts: DataFrame, text_col: str, *, max_words: int, max_length: int = 20) -> dict[str, int]:
-    """The ``max_words`` most frequent words of Latin letters over all texts: the vocabulary of the splitter."""
+def word_counts(texts: DataFrame, text_col: str) -> DataFrame:
+    """``word, n``: all words of two or more Latin letters over all texts, the vocabulary of the splitter."""
     word = F.explode(F.split(F.translate(F.col(text_col), UPPER, LOWER), "[^a-z]+"))
-    counts = texts.select(word.alias("word")).where(F.length("word").between(2, max_length)).groupBy("word").count()
-    return {r["word"]: r["count"] for r in counts.orderBy(F.desc("count"), "word").limit(max_words).collect()}
+    return texts.select(word.alias("word")).where(F.length("word") >= 2).groupBy("word").agg(F.count("*").alias("n"))
 
 
-def splitter(counts: dict[str, int], max_length: int = 20) -> Callable[[str], tuple[str, ...]]:
+def splitter(counts: dict[str, int], total: int) -> Callable[[str], tuple[str, ...]]:
     """Splits a name into words of highest joint unigram probability; ties go to the longer last word.
 
-    A word outside the vocabulary costs ten times more for every letter, single letters included.
+    ``counts`` has the vocabulary's words inside the names to be split, ``total`` is the sum of all its counts. A word outside the vocabulary costs ten times more for every letter, single letters included.
     """
-    total = math.log(sum(counts.values()) + 1)
+    total = math.log(total + 1)
     cost = {w: total - math.log(n) for w, n in counts.items()}
 
-    @lru_cache(maxsize=100_000)
     def split(name: str) -> tuple[str, ...]:
         best, back = [0.0], [0]
         for end in range(1, len(name) + 1):
             options = (
                 (best[start] + cost.get(name[start:end], total + math.log(10) * (end - start)), start)
-                for start in range(max(0, end - max_length), end)
+                for start in range(end)
             )
             b, s = min(options)
             best.append(b)
@@ -85,43 +81,75 @@ def splitter(counts: dict[str, int], max_length: int = 20) -> Callable[[str], tu
     return split
 
 
-def tokens(host: str, path: str, split: Callable[[str], tuple[str, ...]]) -> tuple[list[str], list[str]]:
-    """Words of the host and tokens of the path; numbers are all one token."""
-    words = [w for part in re.split(r"[^a-z]+", host) if part for w in split(part)]
-    parts = ["#" if p.isdigit() else p for p in re.split(r"[\W_]+", path.translate(str.maketrans(UPPER, LOWER))) if p]
-    return words, [f"/{p}" for p in parts]
+def path_tokens(path: str) -> list[str]:
+    """Tokens of the path; numbers are all one token."""
+    return [f"/{'#' if p.isdigit() else p}" for p in re.split(r"[\W_]+", path.translate(str.maketrans(UPPER, LOWER))) if p]
 
 
-def slot(token: str, slots: int) -> int:
-    return xxhash.xxh3_64_intdigest(token.encode("utf-8", "surrogatepass")) % slots
+def host_words(hosts: DataFrame, counts: DataFrame, blocked: Sequence[str]) -> DataFrame:
+    """``host, token``: the words of each host of a table of distinct ones, as often as they are in it.
 
+    Each distinct part of a name meets the counts of all its substrings, and is split with these alone.
+    """
+    top, total = counts.agg(F.coalesce(F.max("n"), F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    marks = dict.fromkeys(blocked, top)
+    own = dict(counts.where(F.col("word").isin(list(marks))).collect())
+    total += sum(top - own.get(w, 0) for w in marks)
+    named = hosts.select("host", F.explode(F.split("host", "[^a-z]+")).alias("part")).where("part != ''")
+    parts = materialise(named.select("part").distinct(), "parts")
+    inside = F.expr("array_distinct(flatten(transform(sequence(1, length(part)), i -> transform(sequence(1, length(part) - i + 1), k -> substr(part, i, k)))))")
+    known = parts.select("part", F.explode(inside).alias("word")).where(F.length("word") >= 2).join(counts, "word")
+    known = known.groupBy("part").agg(F.collect_list("word").alias("words"), F.collect_list("n").alias("ns"))
+
+    def split(batches: Iterator[dict]) -> Iterator[dict]:
+        for b in batches:
+            found = []
+            for part, words, ns in zip(b["part"].to_pylist(), b["words"].to_pylist(), b["ns"].to_pylist()):
+                found.append(splitter({**dict(zip(words or (), ns or ())), **marks}, total)(part))
+            yield {"part": b["part"], "tokens": found}
+
+    done = materialise(arrow_pass(parts.join(known, "part", "left").select("part", "words", "ns"), split, "part string, tokens array<string>"), "splits")
+    return named.join(done, "part").select("host", F.explode("tokens").alias("token"))
 
-def train(pages: DataFrame, counts: dict[str, int], *, blocked: Sequence[str], slots: int, smoothing: float = 0.1) -> tuple[float, dict[int, float]]:
-    """Prior and weight per token slot (log odds of block) from all pages; at most ``slots`` rows reach the driver."""
-    marks = frozenset(blocked)
 
-    def count(batches: Iterator[dict]) -> Iterator[dict]:
-        split, seen = splitter({**counts, **dict.fromkeys(marks, max(counts.values(), default=1))}), Counter()
+def scores(parts: DataFrame, counts: DataFrame, *, blocked: Sequence[str], smoothing: float = 0.1) -> DataFrame:
+    """``host, path, score``: log odds of block per distinct host and path, from the counts of all tokens of all pages."""
+    keys = materialise(parts.groupBy("host", "path").agg(F.count("*").alias("n")).withColumn("key", F.monotonically_increasing_id()), "urls")
+    hosts = keys.groupBy("host").agg(F.sum("n").alias("n"))
+    words = materialise(host_words(hosts.select("host"), counts, blocked), "host-words")
+    marked = words.groupBy("host").agg(F.max(F.col("token").isin(list(blocked))).alias("label"))
+    labels = materialise(hosts.join(marked, "host", "left").select("host", "n", F.coalesce("label", F.lit(False)).alias("label")), "labels")
+
+    def cut(batches: Iterator[dict]) -> Iterator[dict]:
         for b in batches:
-            for host, path in zip(b["host"].to_pylist(), b["path"].to_pylist()):
-                words, parts = tokens(host, path, split)
-                label = not marks.isdisjoint(words)
-                seen[(-1, label)] += 1
-                for t in words + parts:
-                    seen[(slot(t, slots), label)] += 1
-        keys = list(seen)
-        yield {"slot": [k[0] for k in keys], "label": [k[1] for k in keys], "n": [seen[k] for k in keys]}
-
-    found = arrow_pass(pages.select("host", "path"), count, "slot int, label boolean, n long")
-    n = {False: Counter(), True: Counter()}
-    for r in found.groupBy("slot", "label").agg(F.sum("n").alias("n")).collect():
-        n[r["label"]][r["slot"]] += r["n"]
-    rows = {v: n[v].pop(-1, 0) for v in n}
-    seen = {*n[True], *n[False]}
-    sums = {v: sum(n[v].values()) + smoothing * max(1, len(seen)) for v in n}
-    prior = math.log((rows[True] + 1) / (rows[False] + 1))
-    odds = {s: math.log((n[True][s] + smoothing) / sums[True]) - math.log((n[False][s] + smoothing) / sums[False]) for s in seen}
-    return prior, odds
+            yield {"key": b["key"], "n": b["n"], "label": b["label"], "tokens": [path_tokens(x) for x in b["path"].to_pylist()]}
+
+    cuts = arrow_pass(keys.join(labels.select("host", "label"), "host").select("key", "n", "label", "path"), cut, "key long, n long, label boolean, tokens array<string>")
+    paths = materialise(cuts.select("key", "n", "label", F.explode("tokens").alias("token")), "path-tokens")
+    every = words.join(labels, "host").select("token", "n", "label").unionByName(paths.select("token", "n", "label"))
+
+    def of(flag: bool):
+        return F.coalesce(F.sum(F.when(F.col("label") == flag, F.col("n"))), F.lit(0))
+
+    seen = materialise(every.groupBy("token").agg(of(True).alias("a"), of(False).alias("b")), "token-counts")
+    rows = labels.agg(of(True), of(False)).first()
+    n, a, b = seen.agg(F.count("*"), F.coalesce(F.sum("a"), F.lit(0)), F.coalesce(F.sum("b"), F.lit(0))).first()
+    prior = math.log((rows[0] + 1) / (rows[1] + 1))
+    spare = smoothing * max(1, n)
+    odds = F.log((F.col("a") + smoothing) / (a + spare)) - F.log((F.col("b") + smoothing) / (b + spare))
+    # decimals, so that sums don't depend on their order
+    weights = seen.select("token", odds.cast("decimal(20,12)").alias("odds"), ((F.col("a") + F.col("b")) * 1000 >= a + b).alias("hot"))
+
+    def summed(rows: DataFrame, key: str) -> DataFrame:
+        """At most a thousand tokens are a thousandth of all or more; they are broadcast, so no task gets all rows of one."""
+        hot = F.broadcast(weights.where("hot").select("token", F.col("odds").alias("hot_odds")))
+        some = rows.join(hot, "token", "left")
+        rest = some.where("hot_odds IS NULL").join(weights.where("NOT hot"), "token").select(key, "odds")
+        return some.where("hot_odds IS NOT NULL").select(key, F.col("hot_odds").alias("odds")).unionByName(rest).groupBy(key).agg(F.sum("odds").alias(f"{key}_odds"))
+
+    out = keys.join(summed(words, "host"), "host", "left").join(summed(paths.select("key", "token"), "key"), "key", "left")
+    score = F.lit(prior) + F.coalesce(F.col("host_odds").cast("double"), F.lit(0.0)) + F.coalesce(F.col("key_odds").cast("double"), F.lit(0.0))
+    return out.select("host", "path", score.alias("score"))
 
 
 def judge(
@@ -132,36 +160,20 @@ def judge(
     text_col: str = "html",
     rules: Sequence[tuple[str, str, str]] = RULES,
     blocked: Sequence[str] = BLOCKED_WORDS,
-    max_words: int = 50_000,
-    slots: int = 1 << 14,
 ) -> DataFrame:
     """``page_id, host, path, rule, verdict, score`` per row; ``score`` is the model's log odds that the page be blocked.
 
     The host runs from the first ``://`` to ``/``, ``?``, ``#`` or the end; the path from there to ``?``, ``#`` or the end.
-    The longest rule that fits decides; else a score above 0 blocks. What is broadcast is the splitter's vocabulary of at
-    most ``max_words`` words and at most ``slots`` weights, whatever the size of the table.
+    The longest rule that fits decides; else a score above 0 blocks. All words and tokens count, in Spark tables; what is
+    broadcast is at most a thousand weights of the most frequent tokens.
 
     A null url, or one without ``://``, has an empty host and path and no tokens: the model allows it unless most pages
     are blocked. Repeated rows and null ids come back as they are; an empty table gives an empty one; other columns are ignored.
     """
-    counts = word_counts(pages, text_col, max_words=max_words)
+    counts = materialise(word_counts(pages, text_col), "words")
     url = F.col(url_col)
     parts = pages.select(F.col(id_col).alias("id"), host_of(url).alias("host"), path_of(url).alias("path"))
-    prior, weights = train(parts, counts, blocked=blocked, slots=slots)
-    model = pages.sparkSession.sparkContext.broadcast((counts, prior, weights))
-
-    def score(batches: Iterator[dict]) -> Iterator[dict]:
-        counts, prior, weights = model.value
-        split = splitter({**counts, **dict.fromkeys(blocked, max(counts.values(), default=1))})
-        for b in batches:
-            out = []
-            for host, path in zip(b["host"].to_pylist(), b["path"].to_pylist()):
-                words, rest = tokens(host, path, split)
-                out.append(prior + sum(weights.get(slot(t, slots), 0.0) for t in words + rest))
-            yield {"id": b["id"], "host": b["host"], "path": b["path"], "score": out}
-
-    kind = pages.schema[id_col].dataType.simpleString()
-    scored = arrow_pass(parts, score, f"id {kind}, host string, path string, score double")
+    scored = parts.join(scores(parts.select("host", "path"), counts, blocked=blocked), ["host", "path"])
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     by_model = F.when(F.col("score") > 0, "block").otherwise("allow")
     return scored.select(F.col("id").alias(id_col), "host", "path", rule.alias("rule"), F.coalesce(verdict, by_model).alias("verdict"), "score")

@@ -335,6 +335,36 @@ def test_url_rules(spark):
     assert urls.judge(df.where("false")).count() == 0
 
 
+def test_url_filter_keeps_rare_words_and_tokens(spark):
+    """The word that splits a blocked host is rarer than 50,000 others, and slugs are far more than 16,384."""
+    names = ["".join(chr(97 + i // 26**k % 26) for k in range(4)) for i in range(60_000)]
+    filler = " ".join(f"{w}q" for w in names)
+    data = [(1, "http://zebrafishcasino.net/deal", "zebrafish"), (2, "http://zebrafishfarm.net/deal", "zebrafish farm")]
+    data += [(10 + i, f"http://plain{i % 9}.net/{' '.join(names[200 * i : 200 * i + 200])}", f"{filler} {filler} plain" if not i else "plain") for i in range(200)]
+    data += [(1000 + i, f"http://casino.net/bonus/{i}", "casino") for i in range(20)] + [(2000, "http://quiet.org2/bonus", "")]
+    df = spark.createDataFrame(data, "page_id long, url string, html string")
+    parts = df.select(urls.host_of(F.col("url")).alias("host"), urls.path_of(F.col("url")).alias("path"))
+    words = urls.host_words(parts.select("host").distinct(), urls.word_counts(df, "html"), urls.BLOCKED_WORDS).collect()
+    assert {r.token for r in words if r.host == "zebrafishfarm.net"} >= {"zebrafish", "farm"}
+    got = {r.page_id: r for r in urls.judge(df).collect()}
+    assert len(got) == len(data)
+    # naive Bayes by hand
+    of, seen, rows = {}, {True: defaultdict(int), False: defaultdict(int)}, {True: 0, False: 0}
+    for r in words:
+        of.setdefault(r.host, []).append(r.token)
+    for r in got.values():
+        label = not set(urls.BLOCKED_WORDS).isdisjoint(of[r.host])
+        rows[label] += 1
+        for t in of[r.host] + urls.path_tokens(r.path):
+            seen[label][t] += 1
+    every = {*seen[True], *seen[False]}
+    sums = {v: sum(seen[v].values()) + 0.1 * len(every) for v in seen}
+    for r in got.values():
+        odds = [np.log((seen[True][t] + 0.1) / sums[True]) - np.log((seen[False][t] + 0.1) / sums[False]) for t in of[r.host] + urls.path_tokens(r.path)]
+        assert r.score == pytest.approx(np.log((rows[True] + 1) / (rows[False] + 1)) + sum(odds))
+    assert got[1].verdict == "block" and got[10].verdict == "allow"
+
+
 def test_toxicity_held_out(spark, small):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     fold = F.pmod(F.xxhash64("doc_id"), F.lit(2))
