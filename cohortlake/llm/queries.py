@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlake.llm import extraction, metric_search, mixing, near_duplicates, packing, substrings, token_counts, toxicity, urls, vector_links
+from cohortlake.llm import (
+    conversation_repair, decontamination, extraction, filter_audit, metric_search, mixing, near_duplicates, packing, substrings, token_counts,
+    toxicity, urls, vector_links,
+)
 from cohortlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -188,3 +191,73 @@ FROM embeddings e LEFT JOIN n ON e.vec_id = n.a LEFT JOIN c ON e.vec_id = c.id
 @query("op6_embedding_near_dedup", LINKS_SQL)
 def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_links.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+LEAKS_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS ws
+  FROM documents),
+i AS (
+  SELECT item_id,
+    coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS ws
+  FROM benchmark),
+g AS (
+  SELECT DISTINCT item_id, n, array_to_string(ws[k:k + n - 1], ' ') AS gram
+  FROM (SELECT item_id, ws, least(len(ws), 10) AS n, unnest(generate_series(1, len(ws) - least(len(ws), 10) + 1)) AS k FROM i WHERE len(ws) > 0)),
+e AS (SELECT r, ws, unnest(generate_series(1, len(ws))) AS k FROM d),
+o AS (
+  SELECT e.r, e.k, n.n, array_to_string(ws[k:k + n.n - 1], ' ') AS gram FROM e, (SELECT DISTINCT n FROM g) n WHERE k + n.n - 1 <= len(ws)),
+h AS (SELECT o.r, o.k, o.n, g.item_id FROM o JOIN g ON o.n = g.n AND o.gram = g.gram),
+c AS (SELECT r, count(DISTINCT w) AS n_hit FROM (SELECT r, unnest(generate_series(k, k + n - 1)) AS w FROM (SELECT DISTINCT r, k, n FROM h)) GROUP BY r),
+w AS (
+  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item_id::VARCHAR AS item FROM h WHERE item_id IS NOT NULL) GROUP BY r)
+SELECT d.doc_id, len(d.ws)::BIGINT AS n_words, coalesce(c.n_hit, 0)::BIGINT AS n_hit, coalesce(w.n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(w.items, '')) AS items_sha256, coalesce(c.n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN c ON d.r = c.r LEFT JOIN w ON d.r = w.r
+"""
+
+
+@query("op11_benchmark_decontamination", LEAKS_SQL)
+def op11_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+AUDIT_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS ws,
+    min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS least
+  FROM documents),
+l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+m AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+    (len(ws) < 200)::INT + 2 * (100 * len(list_distinct(ws)) < 50 * len(ws))::INT
+    + 4 * (100 * len(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * len(t))::INT + 8 * regexp_matches(t, '[#$%&*|]')::INT
+    + 16 * coalesce(d.doc_id > d.least, false)::INT AS mask
+  FROM d LEFT JOIN l ON d.doc_id = l.doc_id),
+c AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY ALL),
+f AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f, unnest([1, 2, 4, 8, 16]) AS b),
+o AS (
+  SELECT v.f || w.f || x.f || y.f || z.f AS filter_order, [v.b, w.b, x.b, y.b, z.b] AS bits FROM f v, f w, f x, f y, f z
+  WHERE v.b | w.b | x.b | y.b | z.b = 31),
+s AS (SELECT filter_order, step, bits[step] AS own, coalesce(list_sum(bits[1:step - 1]), 0)::INT AS prior FROM (SELECT *, unnest([1, 2, 3, 4, 5])::INT AS step FROM o)),
+r AS (
+  SELECT part, filter_order, step, own, sum(n) FILTER (mask & (own | prior) = 0) AS kept, sum(n) FILTER (mask & own > 0 AND mask & prior = 0) AS removed,
+    sum(n) FILTER (mask & own > 0 AND mask & prior > 0) AS redundant, sum(n) FILTER (mask = own) AS unique_fails,
+    sum(good) FILTER (mask & own > 0 AND mask & prior = 0) AS good_lost, sum(toxic) FILTER (mask & own > 0 AND mask & prior = 0) AS toxic_lost
+  FROM c, s GROUP BY ALL)
+SELECT part, filter_order, step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed, coalesce(redundant, 0)::BIGINT AS redundant,
+  coalesce(unique_fails, 0)::BIGINT AS unique_fails, coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+  (sum(coalesce(removed, 0)) OVER (PARTITION BY part, own))::BIGINT AS shapley
+FROM r
+"""
+
+
+@query("op12_filter_audit", AUDIT_SQL)
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op13_conversation_repair")
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.damaged_and_repaired(table(spark, sf_dir, "conversations"))
