@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -11,10 +12,11 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.ml.stat import Correlation
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlake import config as cfg
+from cohortlake.operators.fractional import ONE, FractionalFit, Moments, fit_fractional, log_odds, moments
 
 
 #: Where trees see a missing value: below every other, so that it can have a branch of its own.
@@ -91,7 +93,47 @@ def fit_logistic(df: DataFrame, features: Sequence[str], target: str = "target",
     )
 
 
-def forward_selection(
+@dataclass(frozen=True)
+class Step:
+    """A feature taken: its score statistic (chi-squared with one degree) and the criterion of the model with it."""
+
+    feature: str
+    statistic: float
+    p_value: float
+    aic: float
+
+
+@dataclass(frozen=True)
+class Selection:
+    """The fit at the end (None: no feature was taken), what was taken in order, and why it ended there.
+
+    ``stopped`` is ``max_features``, ``no_candidate`` (all taken, or their families full), ``not_significant`` or ``aic``.
+    """
+
+    fit: FractionalFit | None
+    steps: tuple[Step, ...]
+    stopped: str
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        rows = [(i + 1, s.feature, s.statistic, s.p_value, s.aic, self.stopped) for i, s in enumerate(self.steps)]
+        return spark.createDataFrame(rows, "step int, feature string, statistic double, p_value double, aic double, stopped string")
+
+
+def score_statistics(at: Moments, chosen: Sequence[str], candidates: Sequence[str]) -> dict[str, float]:
+    """Each candidate's score statistic given the chosen terms; candidates that these determine have none."""
+    inside = [at.terms.index(t) for t in (ONE, *chosen)]
+    inverse = np.linalg.pinv(at.information[np.ix_(inside, inside)])
+    found = {}
+    for c in candidates:
+        j = at.terms.index(c)
+        shared = at.information[j, inside]
+        own = at.information[j, j] - shared @ inverse @ shared
+        if own > 1e-9 * at.information[j, j]:
+            found[c] = float((at.score[j] - shared @ inverse @ at.score[inside]) ** 2 / own)
+    return found
+
+
+def select_forward(
     df: DataFrame,
     features: Sequence[str],
     target: str = "target",
@@ -99,24 +141,50 @@ def forward_selection(
     max_per_family: int = cfg.MAX_FEATURES_PER_FAMILY,
     max_features: int = 15,
     max_p: float = 0.05,
-) -> LogisticFit | None:
-    """Add the feature that lowers the AIC most while it is significant and its family has room.
+) -> Selection:
+    """Forward selection by score tests: the most significant candidate whose family has room, while the AIC falls.
 
-    Stops when no open feature qualifies or at ``max_features``, the target length of the scorecard; a result of that length
-    was stopped by it. Each candidate is one distributed fit; store ``df`` in a table before calling.
+    A step is one pass, which sums the products of all candidates at the present coefficients, and a refit of the model
+    with the winner alone; the driver works on one number per pair of features. Ties go to the feature named first.
+    ``max_features`` is the target length of a scorecard; ``stopped`` says whether it was what ended the selection.
     """
     family = family or {}
-    best: LogisticFit | None = None
-    while best is None or len(best.features) < max_features:
-        chosen = list(best.features) if best else []
+    fit = fit_fractional(df, [], target)
+    steps: list[Step] = []
+    while True:
+        chosen = [s.feature for s in steps]
         taken = [family.get(f, f) for f in chosen]
         open_ = [f for f in features if f not in chosen and taken.count(family.get(f, f)) < max_per_family]
-        fits = [fit_logistic(df, [*chosen, f], target) for f in open_]
-        better = [fit for fit in fits if fit.p_values[fit.features[-1]] <= max_p and (best is None or fit.aic < best.aic)]
-        if not better:
-            return best
-        best = min(better, key=lambda fit: fit.aic)
-    return best
+        if len(chosen) >= max_features or not open_:
+            stopped = "max_features" if len(chosen) >= max_features else "no_candidate"
+            break
+        known = df.where(F.col(f"`{target}`").isNotNull())
+        found = score_statistics(moments(known, (ONE, *features), target, log_odds(fit.intercept, fit.coefficients)), chosen, open_)
+        if not found:
+            stopped = "no_candidate"
+            break
+        best = max(found, key=lambda f: (found[f], -features.index(f)))
+        p_value = math.erfc(math.sqrt(found[best] / 2))
+        if p_value > max_p:
+            stopped = "not_significant"
+            break
+        with_best = fit_fractional(df, [*chosen, best], target)
+        if with_best.aic >= fit.aic:
+            stopped = "aic"
+            break
+        fit = with_best
+        steps.append(Step(best, found[best], p_value, fit.aic))
+    return Selection(fit if steps else None, tuple(steps), stopped)
+
+
+def forward_selection(df: DataFrame, features: Sequence[str], target: str = "target", **limits) -> LogisticFit | None:
+    """The model that :func:`select_forward` ends with, with the p-values of its coefficients."""
+    fit = select_forward(df, features, target, **limits).fit
+    if fit is None:
+        return None
+    errors = np.sqrt(np.diag(np.linalg.pinv(fit.information)))[1:]
+    p = {f: math.erfc(abs(b / e) / math.sqrt(2)) for (f, b), e in zip(fit.coefficients.items(), errors)}
+    return LogisticFit(fit.features, fit.intercept, fit.coefficients, p, fit.aic)
 
 
 def fit_challenger(df: DataFrame, features: Sequence[str], target: str = "target", rounds: int = 20, depth: int = 3):
