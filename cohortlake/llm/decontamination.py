@@ -59,8 +59,8 @@ def _powers(base: int, n: int) -> np.ndarray:
     return have[:n]
 
 
-def _slab_words(low: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    word = _IS_WORD[low]
+def _slab_words(low: np.ndarray, cuts: np.ndarray, letters: np.ndarray = _IS_WORD) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    word = letters[low]
     first, last = word.copy(), word.copy()
     first[1:] &= ~word[:-1]
     last[:-1] &= ~word[1:]
@@ -74,17 +74,20 @@ def _slab_words(low: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return starts, ends, hashes
 
 
-def word_places(data: np.ndarray, bounds: np.ndarray, slab: int = SLAB) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_places(
+    data: np.ndarray, bounds: np.ndarray, slab: int = SLAB, lower: np.ndarray = _LOWER, letters: np.ndarray = _IS_WORD
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, end and hash of every word of UTF-8 texts laid end to end; ``bounds`` are the texts' first bytes, sorted.
 
-    Works through the bytes in slabs that end between words, so its scratch space does not grow with a text.
+    ``lower`` maps bytes before they are hashed, ``letters`` tells the mapped bytes that words are made of. Works through
+    the bytes in slabs that end between words, so its scratch space does not grow with a text.
     """
     at, parts = 0, []
     while at < len(data):
         to = min(at + slab, len(data))
         while to < len(data):
             part = data[at:to]
-            gaps = np.flatnonzero(~_IS_WORD[_LOWER[part]])
+            gaps = np.flatnonzero(~letters[lower[part]])
             bound = bounds[max(np.searchsorted(bounds, to, side="right") - 1, 0)]
             cut = max(at + int(gaps[-1]) + 1 if len(gaps) else at, int(bound))
             if cut > at:
@@ -92,7 +95,7 @@ def word_places(data: np.ndarray, bounds: np.ndarray, slab: int = SLAB) -> tuple
                 break
             to = min(to + slab, len(data))  # one word longer than the slab
         inside = bounds[np.searchsorted(bounds, at, side="right") : np.searchsorted(bounds, to, side="left")] - at
-        starts, ends, hashes = _slab_words(_LOWER[data[at:to]], inside)
+        starts, ends, hashes = _slab_words(lower[data[at:to]], inside, letters)
         parts.append((starts + at, ends + at, hashes))
         at = to
     if not parts:

@@ -13,16 +13,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 import zstandard
 from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlake.llm.common import WORD_PATTERN, arrow_pass, as_array, mix64, words_of
+from cohortlake.llm.decontamination import word_places
 from cohortlake.sources.workspace import materialise
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
+#: Words are what stands between ASCII white space, unchanged.
+_AS_IS = np.arange(256, dtype=np.uint8)
+_LETTERS = np.ones(256, bool)
+_LETTERS[[0x20, *range(0x09, 0x0E)]] = False
 
 
 def window_hash(words: np.ndarray, n: int) -> np.ndarray:
@@ -69,16 +73,45 @@ def from_planes(raw: bytes, kind: type, n: int, at: int) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8, n * size, at).reshape(size, n).T).view(kind).ravel()
 
 
-def pack_block(doc: np.ndarray, row: np.ndarray, at: np.ndarray, windows: np.ndarray, ids: np.ndarray, names: list[str]) -> bytes:
+def numbered(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A number for every word, equal for equal words only, and for every number a place in ``data`` that has its word.
+
+    Words are gathered by hash and compared with their number's word byte by byte; should two words share a hash, all are
+    numbered by their bytes.
+    """
+    _, first, ids = np.unique(hashes, return_index=True, return_inverse=True)
+    length = ends - starts
+    same = bool(np.all(length == length[first][ids]))
+    for at in range(0, len(starts) if same else 0, 1 << 16):
+        here = slice(at, at + (1 << 16))
+        own, its = ranges(starts[here], length[here]), ranges(starts[first[ids[here]]], length[here])
+        same = same and bool(np.array_equal(data[own], data[its]))
+    if not same:
+        raw, number = data.tobytes(), Numbers()
+        ids = np.fromiter((number[raw[s:e]] for s, e in zip(starts.tolist(), ends.tolist())), np.int64, len(starts))
+        first = np.unique(ids, return_index=True)[1]
+    return ids.astype(np.uint32), first
+
+
+def pack_block(doc: np.ndarray, row: np.ndarray, at: np.ndarray, windows: np.ndarray, ids: np.ndarray, raw: bytes, starts: np.ndarray, ends: np.ndarray) -> bytes:
     """One block: document numbers, row keys, starts, window counts and words of its super-k-mers, with its word list.
 
-    Words are numbered by how often they occur; documents and row keys are listed once per run of super-k-mers.
+    Words are numbered by how often they occur; documents and row keys are listed once per run of super-k-mers. The word
+    of a number is at ``starts`` and ``ends`` in ``raw``.
     """
-    used, local, count = np.unique(ids, return_inverse=True, return_counts=True)
+    if len(ids) * 8 < len(starts):
+        used, local, count = np.unique(ids, return_inverse=True, return_counts=True)
+    else:
+        every = np.bincount(ids, minlength=len(starts))
+        used = np.flatnonzero(every)
+        count = every[used]
+        every[used] = np.arange(len(used))
+        local = every[ids]
     order = np.argsort(-count, kind="stable")
     place = np.empty(len(used), np.int64)
     place[order] = np.arange(len(used))
-    words = "\x20".join([names[i] for i in used[order].tolist()]).encode("utf-8", "surrogatepass")
+    listed = used[order]
+    words = b"\x20".join([raw[s:e] for s, e in zip(starts[listed].tolist(), ends[listed].tolist())])
     kind = np.uint16 if len(used) < 1 << 16 else np.uint32
     new = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (row[1:] != row[:-1])))
     runs = np.diff(np.append(new, len(doc))).astype(np.int32)
@@ -95,7 +128,7 @@ def unpack_block(block: bytes) -> tuple:
         parts.append(from_planes(raw, kind, k, to))
         to += k * kind().itemsize
     doc, row, runs, at, windows, ids = parts
-    return np.repeat(doc, runs), np.repeat(row, runs), at, windows, ids, raw[len(raw) - w :].split(b"\x20") if w else []
+    return np.repeat(doc, runs), np.repeat(row, runs), at, windows, ids, raw[len(raw) - w :]
 
 
 def repeats(ids: np.ndarray, starts: np.ndarray, doc: np.ndarray, at: np.ndarray, window: int) -> np.ndarray:
@@ -133,21 +166,19 @@ def spans(key: np.ndarray, at: np.ndarray, window: int) -> tuple[np.ndarray, np.
     return first, at[first], np.diff(np.append(first, len(at))) + window - 1
 
 
-def send(batches: Iterator[dict], window: int, group: int, buckets: int, batch_words: int = 3_000_000) -> Iterator[dict]:
+def send(batches: Iterator[dict], window: int, group: int, buckets: int, batch_bytes: int = 26_000_000) -> Iterator[dict]:
     """Blocks of super-k-mers by bucket, and the spans that a batch settles by itself (as rows of bucket -1 - n)."""
-    docs: list[tuple[int, int, np.ndarray]] = []
-    number, held = Numbers(), 0
+    docs: list[tuple[int, int, bytes]] = []
+    held = 0
     for b in batches:
-        for i, k, t in zip(b["id"].to_pylist(), b["row_key"].to_pylist(), b["text"]):
-            words = words_of(t.as_py())
-            if len(words) >= window and i is not None:
-                docs.append((i, k, np.fromiter(map(number.__getitem__, words), np.uint32, len(words))))
-                held += len(words)
-                if held >= batch_words:
-                    yield _send(docs, list(number), window, group, buckets)
-                    docs, number, held = [], Numbers(), 0
-    if docs:
-        yield _send(docs, list(number), window, group, buckets)
+        for i, k, t in zip(b["id"].to_pylist(), b["row_key"].to_pylist(), b["text"].cast(pa.binary())):
+            if i is not None:
+                docs.append((i, k, t.as_py() or b""))
+                held += len(docs[-1][2])
+                if held >= batch_bytes:
+                    yield from _send(docs, window, group, buckets)
+                    docs, held = [], 0
+    yield from _send(docs, window, group, buckets)
 
 
 class Numbers(dict):
@@ -158,11 +189,23 @@ class Numbers(dict):
         return n
 
 
-def _send(docs: list, names: list[str], window: int, group: int, buckets: int) -> dict:
+def _send(docs: list, window: int, group: int, buckets: int) -> Iterator[dict]:
     docs.sort(key=lambda d: d[:2])
-    sizes = np.asarray([len(d[2]) for d in docs])
-    ids = np.concatenate([d[2] for d in docs])
-    hashes = np.fromiter((xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) for w in names), np.uint64, len(names))[ids]
+    raw = b"".join([d[2] for d in docs])
+    data = np.frombuffer(raw, np.uint8)
+    bounds = np.append(0, np.cumsum([len(d[2]) for d in docs])).astype(np.int64)
+    starts, ends, word_hash = word_places(data, bounds[:-1], lower=_AS_IS, letters=_LETTERS)
+    sizes = np.diff(np.searchsorted(starts, bounds))
+    enough = np.repeat(sizes >= window, sizes)
+    docs = [d for d, n in zip(docs, sizes.tolist()) if n >= window]
+    if not docs:
+        return
+    sizes = sizes[sizes >= window]
+    starts, ends, word_hash = starts[enough], ends[enough], word_hash[enough]
+    ids, first = numbered(data, starts, ends, word_hash)
+    word_starts, word_ends = starts[first], ends[first]
+    hashes = mix64(word_hash)
+    del starts, ends, word_hash, enough
     doc_of = np.repeat(np.arange(len(docs)), sizes)
     starts, n, least = super_k_mers(hashes, doc_of, window, group)
     doc_id, row_key = np.asarray([d[0] for d in docs], np.int64), np.asarray([d[1] for d in docs], np.int64)
@@ -199,27 +242,30 @@ def _send(docs: list, names: list[str], window: int, group: int, buckets: int) -
     for b, part in zip(np.unique(where).tolist(), np.split(kept, np.flatnonzero(np.diff(where)) + 1)) if len(kept) else ():
         words = ids[ranges(starts[part], n[part] + window - 1)]
         bucket.append(int(b))
-        block.append(pack_block(doc_id[own[part]], row_key[own[part]], at[part], n[part], words, names))
+        block.append(pack_block(doc_id[own[part]], row_key[own[part]], at[part], n[part], words, raw, word_starts, word_ends))
         doc.append(None)
         row.append(None)
         first.append(None)
         length.append(None)
-    return {"bucket": bucket, "block": block, "id": doc, "row_key": row, "first": first, "length": length}
+    yield {"bucket": bucket, "block": block, "id": doc, "row_key": row, "first": first, "length": length}
 
 
 def meet(bucket: pa.Table, window: int) -> dict:
     """The spans of one bucket's windows that are repeats, and the spans that batches settled, as they came."""
     done = bucket.filter(bucket["block"].is_null())
     out = {c: [done[c].combine_chunks().to_numpy(zero_copy_only=False)] for c in ("id", "row_key", "first", "length")}
-    number: dict[bytes, int] = {}
-    parts = []
+    parts, lists = [], []
     for block in bucket["block"].drop_null():
-        doc, row, at, n, ids, names = unpack_block(block.as_py())
-        for w in names:
-            if w not in number:
-                number[w] = len(number)
-        parts.append((doc, row, at, n, np.fromiter(map(number.__getitem__, names), np.uint32, len(names))[ids]))
+        *numbers, words = unpack_block(block.as_py())
+        parts.append(numbers)
+        lists.append(words)
     if parts:
+        # the blocks' word lists end to end: one number for a word of all blocks
+        data = np.frombuffer(b"\x20".join(lists), np.uint8)
+        names, _ = numbered(data, *word_places(data, np.zeros(1, np.int64), lower=_AS_IS, letters=_LETTERS))
+        size = np.asarray([x.count(b"\x20") + 1 for x in lists])
+        for p, to, k in zip(parts, np.cumsum(size).tolist(), size.tolist()):
+            p[4] = names[to - k : to][p[4]]
         doc, row, at, n, ids = (np.concatenate(x) for x in zip(*parts))
         text_starts = np.cumsum(n + window - 1) - (n + window - 1)
         starts, places = ranges(text_starts, n), ranges(at.astype(np.int64), n)
@@ -269,7 +315,7 @@ def drop_repeats(
     text_col: str = "text",
     window: int = 20,
     group: int = 4,
-    words_per_bucket: int = 1_000_000,
+    words_per_bucket: int = 800_000,
 ) -> DataFrame:
     """Every input row with ``n_words, n_removed, kept_text`` added: words that repeated windows cover are taken out.
 

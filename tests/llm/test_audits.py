@@ -82,8 +82,8 @@ def test_colliding_words_are_told_apart(monkeypatch):
     texts = [t.encode() for _, t in docs if t]
     real = leaks._slab_words
 
-    def coarse(low, cuts):
-        s, e, h = real(low, cuts)
+    def coarse(*of):
+        s, e, h = real(*of)
         return s, e, h % np.uint64(modulus)
 
     for modulus in (3, 8):  # item words collide; words of no item collide with item words
