@@ -91,9 +91,9 @@ def vintage(spark, sf_dir):
     "q_vintage_samples",
     fx.with_views(
         """
-SELECT nd AS n_dev, bd AS bads_dev, no AS n_oot, bo AS bads_oot, round(bd / nd, 6) AS rate_dev, round(bo / no, 6) AS rate_oot,
-       round(abs(bd / nd - bo / no) / (bd / nd), 6) AS drift, CASE WHEN bd + bo >= 1000 THEN 'PASS' ELSE 'FAIL' END AS gate
-FROM (SELECT count(*) FILTER (WHERE s = 'dev') AS nd, count(*) FILTER (WHERE s = 'oot') AS no,
+SELECT n AS n_matured, b AS bads_matured, nd AS n_dev, bd AS bads_dev, no AS n_oot, bo AS bads_oot, round(bd / nd, 6) AS rate_dev, round(bo / no, 6) AS rate_oot,
+       round(abs(bd / nd - bo / no) / (bd / nd), 6) AS drift, CASE WHEN b >= 1000 THEN 'PASS' ELSE 'FAIL' END AS gate
+FROM (SELECT count(*) AS n, count(*) FILTER (WHERE target = 1) AS b, count(*) FILTER (WHERE s = 'dev') AS nd, count(*) FILTER (WHERE s = 'oot') AS no,
              count(*) FILTER (WHERE s = 'dev' AND target = 1) AS bd, count(*) FILTER (WHERE s = 'oot' AND target = 1) AS bo
       FROM (SELECT target, CASE WHEN issue_date >= DATE '1995-01-01' AND issue_date < DATE '1998-01-01' THEN 'dev'
                                 WHEN issue_date >= DATE '1998-01-01' AND issue_date < DATE '1999-01-01' THEN 'oot' END AS s
@@ -103,8 +103,7 @@ FROM (SELECT count(*) FILTER (WHERE s = 'dev') AS nd, count(*) FILTER (WHERE s =
     ),
 )
 def vintage_samples(spark, sf_dir):
-    samples = ln.vintage_split(ln.matured(fx.loans(spark, sf_dir)), "issue_date", DEV, OOT)
-    return rounded(ln.sample_rates(samples), 6)
+    return rounded(ln.sample_rates(ln.matured(fx.loans(spark, sf_dir)), "issue_date", DEV, OOT), 6)
 
 
 @query(

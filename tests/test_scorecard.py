@@ -93,8 +93,10 @@ def test_vintages(spark):
         [("2011-12-31", 1), ("2012-01-01", 1), ("2014-12-31", 0), ("2015-01-01", 0), ("2016-01-01", 1)], "d string, target int"
     ).withColumn("d", F.to_date("d"))
     assert rows(loans.vintage_split(df, "d").select("target", "sample"), "sample", "target") == [(0, "dev"), (1, "dev"), (0, "oot")]
-    rates = loans.sample_rates(loans.vintage_split(df, "d")).first()
+    rates = loans.sample_rates(df, "d").first()
     assert (rates.rate_dev, rates.rate_oot, rates.drift, rates.gate) == (0.5, 0.0, 1.0, "FAIL")
+    # three bads have matured, one of them inside a sample: the gate counts all three
+    assert [loans.sample_rates(df, "d", min_bads=n).first().gate for n in (3, 4)] == ["PASS", "FAIL"]
     matured = df.select(loans.is_fully_matured("d")).collect()
     assert [r[0] for r in matured] == [True, True, True, True, False]
     assert df.filter("d = '2015-01-01'").select(loans.is_fully_matured("d", 48)).first()[0] is False
