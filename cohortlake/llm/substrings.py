@@ -166,7 +166,7 @@ def spans(key: np.ndarray, at: np.ndarray, window: int) -> tuple[np.ndarray, np.
     return first, at[first], np.diff(np.append(first, len(at))) + window - 1
 
 
-def send(batches: Iterator[dict], window: int, group: int, buckets: int, batch_bytes: int = 26_000_000) -> Iterator[dict]:
+def send(batches: Iterator[dict], window: int, group: int, buckets: int, batch_bytes: int = 8_000_000) -> Iterator[dict]:
     """Blocks of super-k-mers by bucket, and the spans that a batch settles by itself (as rows of bucket -1 - n)."""
     docs: list[tuple[int, int, bytes]] = []
     held = 0
@@ -278,7 +278,7 @@ def meet(bucket: pa.Table, window: int) -> dict:
 
 
 def repeated_spans(docs: DataFrame, *, id_col: str, text_col: str, window: int, group: int, words_per_bucket: int) -> DataFrame:
-    """``id, row_key, spans``: the runs of words of a document that repeated windows cover, as arrays of (first, length)."""
+    """``id, row_key, first, length``: the runs of words of documents that repeated windows cover, as they were found."""
     source = docs.select(
         F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("row_key"), F.col(text_col).alias("text")
     ).where(F.col("text").isNotNull())
@@ -294,8 +294,28 @@ def repeated_spans(docs: DataFrame, *, id_col: str, text_col: str, window: int,
         return pa.table({c: as_array(found[c], pa.int64()) for c in ("id", "row_key", "first", "length")})
 
     found = sent.groupBy("bucket").applyInArrow(met, "id long, row_key long, first long, length long")
-    found = materialise(found, "spans")
-    return found.groupBy("id", "row_key").agg(F.collect_list(F.struct("first", "length")).alias("spans"))
+    return materialise(found, "spans")
+
+
+#: Bits of the sketch of documents with spans, for each span and at most; it is broadcast, 32 MB at most. Documents that it
+#: wrongly takes for some with spans are joined and keep all words, so its size only decides how many texts are shuffled.
+BITS_A_SPAN = 16
+MOST_BITS = 1 << 28
+
+
+def sketched(found: DataFrame) -> np.ndarray:
+    """One bit for every hash of a document that has a span."""
+    spans = found.count()
+    bits = min(MOST_BITS, max(1 << 15, 1 << int(BITS_A_SPAN * spans).bit_length()))
+    place = F.pmod(F.xxhash64("id", "row_key"), F.lit(bits)) + 1
+    packed = found.select(place.alias("place")).groupBy(F.expr("bitmap_bucket_number(place)").alias("bucket")).agg(
+        F.expr("bitmap_construct_agg(bitmap_bit_position(place))").alias("bits")
+    )
+    out = np.zeros(bits // 8, np.uint8)
+    for r in packed.toLocalIterator():
+        at = (r["bucket"] - 1) * 4096
+        out[at : at + 4096] |= np.frombuffer(bytes(r["bits"]), np.uint8)
+    return out
 
 
 def kept_words(words: list[str], found: list[dict] | None) -> list[str]:
@@ -330,26 +350,45 @@ def drop_repeats(
     """
     found = repeated_spans(docs, id_col=id_col, text_col=text_col, window=window, group=group, words_per_bucket=words_per_bucket)
     own = [c for c in docs.columns if c not in ("n_words", "n_removed", "kept_text")]
-    renamed = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(own)]).withColumn("row_key", F.xxhash64(f"c{own.index(text_col)}"))
-    renamed = renamed.withColumn("id", F.col(f"c{own.index(id_col)}").cast("long"))
-    joined = renamed.join(found.withColumnRenamed("id", "fid").withColumnRenamed("row_key", "fkey"), on=(F.col("id") == F.col("fid")) & (F.col("row_key") == F.col("fkey")), how="left").drop("fid", "fkey", "id", "row_key")
     text = f"c{own.index(text_col)}"
+    rows = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(own)])
+    rows = rows.withColumns({"id": F.col(f"c{own.index(id_col)}").cast("long"), "row_key": F.xxhash64(text)})
+    rows = rows.withColumn("place", F.xxhash64("id", "row_key"))
+    sketch = docs.sparkSession.sparkContext.broadcast(sketched(found))
+    kept_columns = [*rows.columns[: len(own)]]
+    ddl_rows = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name != "place")
+    ddl = ", ".join([*[f"{c} {rows.schema[c].dataType.simpleString()}" for c in kept_columns], "n_words long", "n_removed long", "kept_text string"])
+
+    def split(batches: Iterator[dict], with_spans: bool) -> Iterator[dict]:
+        """The rows of documents that may have spans, or of the others."""
+        bits = sketch.value
+        for b in batches:
+            place = b["place"].to_numpy(zero_copy_only=False) % (8 * len(bits))
+            some = (bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+            here = pa.array(np.flatnonzero(some == with_spans))
+            if len(here):
+                yield {c: v.take(here) for c, v in b.items() if c != "place"}
 
     def take_out(batches: Iterator[dict]) -> Iterator[dict]:
         for b in batches:
             n, removed, kept = [], [], []
-            for t, s in zip(b[text], b["spans"]):
-                t, s = t.as_py(), s.as_py()
+            spans = b["spans"] if "spans" in b else [None] * len(b[text])
+            for t, s in zip(b[text], spans):
+                t, s = t.as_py(), s.as_py() if s is not None else None
                 words = words_of(t)
                 rest = kept_words(words, s)
                 n.append(len(words))
                 removed.append(len(words) - len(rest))
                 kept.append(t if len(rest) == len(words) else " ".join(rest))
-            yield {**b, "n_words": n, "n_removed": removed, "kept_text": kept}
-
-    kinds = {f.name: f.dataType.simpleString() for f in joined.schema if f.name != "spans"}
-    ddl = ", ".join([*[f"{c} {k}" for c, k in kinds.items()], "n_words long", "n_removed long", "kept_text string"])
-    return arrow_pass(joined, take_out, ddl).toDF(*own, "n_words", "n_removed", "kept_text")
+            yield {**{c: b[c] for c in kept_columns}, "n_words": n, "n_removed": removed, "kept_text": kept}
+
+    untouched = arrow_pass(rows, lambda batches: take_out(split(batches, False)), ddl)
+    told = arrow_pass(rows, lambda batches: split(batches, True), ddl_rows)
+    of = found.groupBy("id", "row_key").agg(F.collect_list(F.struct("first", "length")).alias("spans"))
+    of = of.withColumnsRenamed({"id": "fid", "row_key": "fkey"})
+    joined = told.join(of, on=(F.col("id") == F.col("fid")) & (F.col("row_key") == F.col("fkey")), how="left").select(*kept_columns, "spans")
+    cut = arrow_pass(joined, take_out, ddl)
+    return untouched.unionByName(cut).toDF(*own, "n_words", "n_removed", "kept_text")
 
 
 def removal_digest(docs: DataFrame, **parameters) -> DataFrame:
