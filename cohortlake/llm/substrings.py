@@ -9,6 +9,7 @@ Super-k-mers repeated within a batch are settled there, so a passage in very man
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -168,6 +169,7 @@ def spans(key: np.ndarray, at: np.ndarray, window: int) -> tuple[np.ndarray, np.
 
 def send(batches: Iterator[dict], window: int, group: int, buckets: int, batch_bytes: int = 8_000_000) -> Iterator[dict]:
     """Blocks of super-k-mers by bucket, and the spans that a batch settles by itself (as rows of bucket -1 - n)."""
+    give_back()
     docs: list[tuple[int, int, bytes]] = []
     held = 0
     for b in batches:
@@ -178,7 +180,19 @@ def send(batches: Iterator[dict], window: int, group: int, buckets: int, batch_b
                 if held >= batch_bytes:
                     yield from _send(docs, window, group, buckets)
                     docs, held = [], 0
+                    give_back()
+        del b
     yield from _send(docs, window, group, buckets)
+    del docs
+    give_back()
+
+
+def give_back() -> None:
+    """Hand freed memory back to the system: Spark keeps workers between tasks, and each would hold on to its peak."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 class Numbers(dict):
@@ -291,6 +305,7 @@ def repeated_spans(docs: DataFrame, *, id_col: str, text_col: str, window: int,
 
     def met(rows: pa.Table) -> pa.Table:
         found = meet(rows, window)
+        give_back()
         return pa.table({c: as_array(found[c], pa.int64()) for c in ("id", "row_key", "first", "length")})
 
     found = sent.groupBy("bucket").applyInArrow(met, "id long, row_key long, first long, length long")
