@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 from collections.abc import Callable, Iterator
 
@@ -41,10 +42,20 @@ def arrow_pass(df: DataFrame, rows: Callable[[Iterator[dict]], Iterator[dict]],
 
         for out in rows(columns()):
             yield pa.RecordBatch.from_arrays([as_array(out[f.name], f.type) for f in arrow], schema=arrow)
+        out = None
+        give_back()
 
     return df.mapInArrow(run, schema)
 
 
+def give_back() -> None:
+    """Hand freed memory back to the system: Spark keeps workers between tasks, and each would hold on to its peak."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def as_array(values, kind: pa.DataType) -> pa.Array:
     if isinstance(values, pa.Array):
         return values if values.type == kind else values.cast(kind)

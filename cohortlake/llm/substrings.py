@@ -9,7 +9,6 @@ Super-k-mers repeated within a batch are settled there, so a passage in very man
 
 from __future__ import annotations
 
-import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,7 +18,7 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlake.llm.common import WORD_PATTERN, arrow_pass, as_array, mix64, words_of
+from cohortlake.llm.common import WORD_PATTERN, arrow_pass, as_array, give_back, mix64, words_of
 from cohortlake.llm.decontamination import word_places
 from cohortlake.sources.workspace import materialise
 
@@ -187,14 +186,6 @@ def send(batches: Iterator[dict], window: int, group: int, buckets: int, batch_b
     give_back()
 
 
-def give_back() -> None:
-    """Hand freed memory back to the system: Spark keeps workers between tasks, and each would hold on to its peak."""
-    pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-    if trim:
-        trim(0)
-
-
 class Numbers(dict):
     """Numbers for words, given as they are first asked for."""
 
