@@ -128,13 +128,27 @@ def search(root: Page, q: np.ndarray, q_whole: np.ndarray, whole: np.ndarray, id
 
 
 def whole_vectors(df: DataFrame, id_col: str, vec_col: str, scale: int) -> DataFrame:
-    """``id, v``: floor(scale * x) per component, for vectors without null or non-finite components."""
+    """``id, v``: floor(scale * x) per component, for vectors without null or non-finite components.
+
+    The whole numbers are doubles: from 2^53 on every double is whole, and beyond 2^63 there is no long for them.
+    """
     x = F.col(vec_col)
     good = x.isNotNull() & F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c.cast("double")) & (F.abs(c.cast("double")) < float("inf")))
-    v = F.transform(x, lambda c: F.floor(c.cast("double") * scale).cast("long"))
+
+    def whole(c):
+        y = c.cast("double") * F.lit(float(scale))
+        return F.when(F.abs(y) < float(1 << 53), F.floor(y).cast("double")).otherwise(y)
+
+    v = F.transform(x, whole)
     return df.where(good & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), v.alias("v"))
 
 
+def size_of(rows: DataFrame) -> tuple[int, int, float]:
+    """Rows, most components of a row, and the greatest component without its sign."""
+    n, d, top = rows.agg(F.count("*"), F.max(F.size("v")), F.max(F.array_max(F.transform("v", F.abs)))).first()
+    return n, d or 0, top or 0.0
+
+
 def top_k(
     vectors: DataFrame,
     queries: DataFrame,
@@ -154,11 +168,17 @@ def top_k(
     Vectors that are null, or hold null or non-finite components, and rows with a null id take no part; nor do candidates of
     another length than the query's. Ties go to the smaller id. A row is no candidate for a query of the same id; repeated
     rows count once. Fewer than ``k`` candidates are all returned; empty tables give an empty one; other columns are ignored.
+
+    Scores are exact whatever the components' size. Where a result's score has no place in a ``long`` the query fails and says so;
+    it never returns a wrapped number.
     """
     rows = materialise(whole_vectors(vectors, id_col, vec_col, scale).distinct(), "candidates")
     asked = materialise(whole_vectors(queries, id_col, vec_col, scale).distinct(), "queries")
-    blocks = max(1, -(-rows.count() // block_rows))
-    parts = max(1, -(-asked.count() // query_rows))
+    (n_rows, d_rows, top_rows), (n_asked, d_asked, top_asked) = size_of(rows), size_of(asked)
+    blocks = max(1, -(-n_rows // block_rows))
+    parts = max(1, -(-n_asked // query_rows))
+    # squared lengths and scores of all pairs, and a squared length plus another, stay below 2^63
+    small = max(d_rows, d_asked) * max(top_rows, top_asked) ** 2 < 2.0**62
     left = rows.select("id", "v", F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block")).withColumn(
         "part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
     )
@@ -171,26 +191,32 @@ def top_k(
         q_lengths = np.asarray([len(x) for x in queries["v"]], int)
         c_lengths = np.asarray([len(x) for x in candidates["v"]], int)
         for n in np.intersect1d(q_lengths, c_lengths).tolist():
-            ids, whole = _matrix(candidates, c_lengths == n, n)
-            q_ids, q_whole = _matrix(queries, q_lengths == n, n)
+            ids, whole = _matrix(candidates, c_lengths == n, n, small)
+            q_ids, q_whole = _matrix(queries, q_lengths == n, n, small)
             norms = (whole**2).sum(axis=1)
             common = int(norms.max())
-            points = np.column_stack([whole, np.sqrt(common - norms)]).astype(float)
+            points = np.column_stack([whole.astype(float), np.sqrt((common - norms).astype(float))])
             root = build_tree(points)
             for i, q in zip(q_ids.tolist(), q_whole):
                 reach = float((q**2).sum() + common)
-                best = search(root, np.append(q, 0).astype(float), q, whole, ids, i, k, reach)
-                found += [(i, j, s) for s, j in best]
+                best = search(root, np.append(q.astype(float), 0.0), q, whole, ids, i, k, reach)
+                if any(s >= 1 << 63 for s, _ in best):
+                    raise OverflowError(f"a score of query {i} is {max(best)[0]} and has no place in a long")
+                # a score below all longs only matters if it is among the best over all blocks; null stands for it
+                found += [(i, j, s if s >= -(1 << 63) else None) for s, j in best]
         columns = list(zip(*found)) or [(), (), ()]
         return pa.table({c: as_array(list(v), pa.int64()) for c, v in zip(("query_id", "vec_id", "score"), columns)})
 
     met = left.groupBy("block", "part").cogroup(right.groupBy("block", "part")).applyInArrow(meet, "query_id long, vec_id long, score long")
     order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     best = met.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")).withColumn("rank", F.row_number().over(order))
-    return best.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    kept = F.coalesce("score", F.raise_error(F.lit("a score is below -2^63 and has no place in a long")).cast("long"))
+    return best.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", kept.alias("score"))
 
 
-def _matrix(rows: pa.Table, wanted: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+def _matrix(rows: pa.Table, wanted: np.ndarray, n: int, small: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and whole vectors of length ``n``, in 64 bits if that is enough for all sums of products."""
     rows = rows.filter(pa.array(wanted))
     flat = rows["v"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
-    return rows["id"].to_numpy(), flat.reshape(len(rows), n)
+    whole = flat.astype(np.int64) if small else np.asarray([int(x) for x in flat.tolist()], object)
+    return rows["id"].to_numpy(), whole.reshape(len(rows), n)
