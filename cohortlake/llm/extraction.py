@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -22,7 +22,8 @@ from cohortlake.llm.common import arrow_pass
 from cohortlake.sources.workspace import materialise
 
 OPEN, TEXT, FRAME = 0, 1, 2
-TOKENS = re.compile(r"<!--.*?(?:-->|\Z)|<[a-zA-Z/!?][^>]*(?:>|\Z)|[^<]+|<", re.S)
+#: A tag ends at the first ``>`` outside a quoted attribute value.
+TOKENS = re.compile(r"""<!--.*?(?:-->|\Z)|<[a-zA-Z/!?](?:[^>=]+|=\s*(?:"[^"]*"|'[^']*')?)*(?:>|\Z)|[^<]+|<""", re.S)
 TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
 #: Elements whose content is not text of the page.
 RAW = frozenset("script style template noscript iframe svg math textarea select canvas object".split())
@@ -49,15 +50,41 @@ FRAME_WORDS = re.compile(
     r"""ads?|adverts?|advertisement|sponsor(?:ed)?|promo|banner|cookies?|consent|notice|newsletter|subscribe|
     comments?|disqus|share|social|sidebar|breadcrumbs?|menu|navigation|navbar|related|popup|modal|footer""", re.X | re.I
 )
+#: Words that make a hyphenated name one of the frame's if they begin or end it.
+FRAME_ENDS = re.compile(r"ads?|adverts?|advertisement|sponsor(?:ed)?|cookies?|consent|newsletter|comments?|disqus|sidebar|breadcrumbs?|navbar|popup|modal", re.I)
+#: Words that say so only beside one for a part of a page, as in ``share-buttons``; ``share-price`` is no frame.
+FRAME_HALVES = re.compile(r"share|social|related|promo|banner|menu|navigation|subscribe|footer|notice", re.I)
+PLACES = re.compile(r"bar|box|list|links?|buttons?|block|widget|area|section|wrap|wrapper|container|posts?|articles?|icons?|panel|slot|left|right|top|bottom|main|site|page", re.I)
+#: Parts by which a name tells how a page is laid out, as in ``no-sidebar``.
+LAYOUT = frozenset("no not has with without is".split())
 #: Elements that hold a page's text whatever they are called.
 NEVER_NAMED = frozenset("html body main article".split())
 NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
-HIDDEN = re.compile(r"""\shidden(?=[\s>=/])|display\s*:\s*none""", re.I)
+QUOTED = re.compile(r"""=\s*(?:"[^"]*"|'[^']*')""")
+HIDDEN = re.compile(r"\shidden(?=[\s>=/])", re.I)
+NOT_SHOWN = re.compile(r"""\bstyle\s*=\s*(?:"[^"]*display\s*:\s*none|'[^']*display\s*:\s*none|display:none)""", re.I)
 
 
-def named_frame(token: str) -> bool:
+def frame_name(name: str) -> bool:
+    """Whether a class, id or role is one of the frame's: a frame word, or parts of which an outer one is."""
+    if FRAME_WORDS.fullmatch(name):
+        return True
+    parts = re.split(r"[-_]+", name.lower().strip("-_"))
+    if len(parts) == 1 or not LAYOUT.isdisjoint(parts):
+        return False
+    if FRAME_ENDS.fullmatch(parts[0]) or FRAME_ENDS.fullmatch(parts[-1]):
+        return True
+    return all(FRAME_HALVES.fullmatch(p) or PLACES.fullmatch(p) for p in parts) and any(FRAME_HALVES.fullmatch(p) for p in parts)
+
+
+def named_frame(token: str, is_frame: Callable[[str], bool] = frame_name) -> bool:
     """Whether a name in the tag's class, id or role is one of the frame's."""
-    return any(FRAME_WORDS.fullmatch(name) for value in NAMED.findall(token) for name in value.strip("\"'").split())
+    return any(is_frame(name) for value in NAMED.findall(token) for name in value.strip("\"'").split())
+
+
+def hidden(token: str) -> bool:
+    """Whether the tag has the attribute ``hidden`` or a style that shows nothing."""
+    return bool(NOT_SHOWN.search(token) or HIDDEN.search(QUOTED.sub("=", token)))
 
 
 def lines_of(page: str | None) -> tuple[list[str], list[int]]:
@@ -66,6 +93,7 @@ def lines_of(page: str | None) -> tuple[list[str], list[int]]:
     zones: list[int] = []
     stack: list[tuple[str, int]] = []
     zone, skip, parts = OPEN, "", []
+    mute, depth, blocks = "", 0, 0  # an inline element that is not shown, how often it is open in itself, blocks begun inside
 
     def end_line() -> None:
         line = " ".join("".join(parts).split())
@@ -92,7 +120,7 @@ def lines_of(page: str | None) -> tuple[list[str], list[int]]:
         token = TOKENS.match(page, place)[0]
         place += len(token)
         if token[0] != "<" or len(token) == 1:
-            if not skip:
+            if not skip and not mute:
                 parts.append(html.unescape(token))
             continue
         found = TAG.match(token)
@@ -109,9 +137,17 @@ def lines_of(page: str | None) -> tuple[list[str], list[int]]:
                 skip = ""
             continue
         if name in INLINE:
-            if name == "br":
-                parts.append(" ")
+            if name == "br" or name == "wbr":
+                parts.append(" " if name == "br" and not mute else "")
+            elif name == mute:
+                depth += -1 if ending else 1
+                mute = mute if depth else ""
+            elif not mute and not ending and name != "img" and not token.endswith("/>") and (hidden(token) or named_frame(token, FRAME_ENDS.fullmatch)):
+                mute, depth, blocks = name, 1, 0
             continue
+        if mute and name not in VOID:
+            blocks += -1 if ending else 1
+            mute = mute if blocks >= 0 else ""  # the block around it ends, and so does what was left open in it
         end_line()
         if name in VOID or token.endswith("/>"):
             continue
@@ -133,12 +169,12 @@ def lines_of(page: str | None) -> tuple[list[str], list[int]]:
         if name in TREE:
             stack.append((name, zone))
             if zone != FRAME:
-                if name in FRAMES or name == "header" and zone == OPEN or name not in NEVER_NAMED and named_frame(token) or HIDDEN.search(token):
+                if name in FRAMES or name == "header" and zone == OPEN or name not in NEVER_NAMED and named_frame(token) or hidden(token):
                     zone = FRAME
                 elif name in MAIN:
                     zone = TEXT
-            parts.append(html.unescape(raw))
-        elif zone == FRAME or named_frame(token):
+            parts.append("" if mute else html.unescape(raw))
+        elif zone == FRAME or named_frame(token) or hidden(token):
             stack.append((name, zone))
             zone = FRAME
     end_line()
@@ -220,24 +256,31 @@ def extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url",
     alone. Repeated rows are one page to the neighbours and all come back; null ids too. An empty table gives an empty one; other
     columns are ignored.
     """
+    kind = pages.schema[id_col].dataType.simpleString()
     source = pages.select(
-        F.col(id_col).cast("string").alias("page"), F.xxhash64(url_col, html_col).alias("key"), F.col(html_col).alias("html"),
-        host_of(F.col(url_col)).alias("host"), F.regexp_extract(F.coalesce(F.col(url_col), F.lit("")), r"://[^/?#]*([^?#]*)", 1).alias("path"),
-    ).withColumn("page", F.coalesce("page", F.lit("")))
+        F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("page"), F.xxhash64(url_col, html_col).alias("key"),
+        F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), host_of(F.col(url_col)).alias("host"),
+        F.regexp_extract(F.coalesce(F.col(url_col), F.lit("")), r"://[^/?#]*([^?#]*)", 1).alias("path"),
+    )
 
-    def hash_lines(batches: Iterator[dict]) -> Iterator[dict]:
+    def parse(batches: Iterator[dict]) -> Iterator[dict]:
         for b in batches:
-            found = [lines_of(t.as_py())[0] for t in b["html"]]
-            hashed = [[xxhash.xxh3_64_intdigest(x.encode("utf-8", "surrogatepass")) - (1 << 63) for x in lines] for lines in found]
-            yield {**{c: b[c] for c in ("page", "key", "host", "path")}, "lines": hashed}
-
-    hashed = arrow_pass(source, hash_lines, "page string, key long, host string, path string, lines array<bigint>")
-    hashed = materialise(hashed, "lines").dropDuplicates(["page", "key"])
-    hashed = materialise(hashed, "pages")
-    pairs = neighbours(hashed)
-    own = hashed.select("page", "key", "lines")
+            hashed, wanted, places = [], [], []
+            for t in b["html"]:
+                lines, zones = lines_of(t.as_py())
+                best = TEXT if TEXT in zones else OPEN
+                hashed.append([xxhash.xxh3_64_intdigest(x.encode("utf-8", "surrogatepass")) - (1 << 63) for x in lines])
+                wanted.append([x for x, z in zip(lines, zones) if z == best])
+                # lines of an article stay whatever the neighbour has, so they need no place
+                places.append([i for i, z in enumerate(zones) if z == OPEN] if best == OPEN else None)
+            yield {**{c: b[c] for c in ("id", "url", "page", "key", "host", "path")}, "lines": hashed, "wanted": wanted, "places": places}
+
+    ddl = f"id {kind}, url string, page string, key long, host string, path string, lines array<bigint>, wanted array<string>, places array<int>"
+    parsed = materialise(arrow_pass(source, parse, ddl), "lines")
+    hashed = parsed.select("page", "key", "lines").dropDuplicates(["page", "key"])
+    pairs = neighbours(parsed.select("page", "key", "host", "path").distinct())
     other = hashed.select(F.col("page").alias("other_page"), F.col("key").alias("other_key"), F.col("lines").alias("other_lines"))
-    both = own.join(pairs, ["page", "key"]).join(other, ["other_page", "other_key"]).select("page", "key", "lines", "other_lines")
+    both = hashed.join(pairs, ["page", "key"]).join(other, ["other_page", "other_key"]).select("page", "key", "lines", "other_lines")
 
     def align(batches: Iterator[dict]) -> Iterator[dict]:
         for b in batches:
@@ -245,23 +288,9 @@ def extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url",
             yield {"page": b["page"], "key": b["key"], "shared": shared}
 
     aligned = arrow_pass(both, align, "page string, key long, shared array<int>")
-    rows = pages.select(
-        F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("page"), F.xxhash64(url_col, html_col).alias("key"),
-        F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"),
-    )
-    joined = rows.join(aligned, ["page", "key"], "left").select("id", "url", "html", "shared")
-
-    def keep(batches: Iterator[dict]) -> Iterator[dict]:
-        for b in batches:
-            texts, n_shared = [], []
-            for t, s in zip(b["html"], b["shared"]):
-                lines, zones = lines_of(t.as_py())
-                shared = set(s.as_py() or ())
-                wanted = TEXT if TEXT in zones else OPEN
-                texts.append("\n".join(x for i, (x, z) in enumerate(zip(lines, zones)) if z == wanted and (z == TEXT or i not in shared)))
-                n_shared.append(len(shared))
-            yield {"id": b["id"], "url": b["url"], "text": texts, "n_chars": [len(t) for t in texts], "n_shared": n_shared}
-
-    kind = pages.schema[id_col].dataType.simpleString()
-    out = arrow_pass(joined, keep, f"id {kind}, url string, text string, n_chars long, n_shared int")
-    return out.withColumnsRenamed({"id": id_col, "url": url_col})
+    joined = parsed.select("id", "url", "page", "key", "wanted", "places").join(aligned, ["page", "key"], "left")
+    shared = F.coalesce("shared", F.array().cast("array<int>"))
+    left = F.filter(F.arrays_zip("wanted", "places"), lambda x: ~F.array_contains(shared, x["places"]))
+    text = F.array_join(F.when(F.col("places").isNull(), F.col("wanted")).otherwise(F.transform(left, lambda x: x["wanted"])), "\n")
+    out = joined.select(F.col("id").alias(id_col), F.col("url").alias(url_col), text.alias("text"), F.size(shared).alias("n_shared"))
+    return out.select(id_col, url_col, "text", F.length("text").cast("long").alias("n_chars"), "n_shared")
