@@ -3,7 +3,8 @@
 Hosts are names run together, so each part of a host is split into words by unigram Viterbi: the split of highest
 probability under word counts of the pages themselves. A multinomial naive Bayes model over all tokens scores the
 words. It is trained on all pages, those on hosts with a word from a short blocked list being its positive examples, so
-that words which keep such company count against a host too.
+that words which keep such company count against a host too. A host has such a word where separators bound it, or where the
+split finds it under the pages' own counts; listed words get no counts of their own, so that ``downloads`` is not cut for ``ads``.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ RULES = (
 )
 BLOCKED_WORDS = ("adult", "ads", "bets", "casino", "escort", "pills", "poker", "porn", "spam", "viagra", "xxx")
 #: Lower case of A to Z only; other letters stay as they are.
+#: Letters of the longest word of the splitter: no name between two dots of a host is longer.
+LONGEST_WORD = 63
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -49,9 +52,9 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str, str]]) -
 
 
 def word_counts(texts: DataFrame, text_col: str) -> DataFrame:
-    """``word, n``: all words of two or more Latin letters over all texts, the vocabulary of the splitter."""
+    """``word, n``: all words of two to ``LONGEST_WORD`` Latin letters over all texts, the vocabulary of the splitter."""
     word = F.explode(F.split(F.translate(F.col(text_col), UPPER, LOWER), "[^a-z]+"))
-    return texts.select(word.alias("word")).where(F.length("word") >= 2).groupBy("word").agg(F.count("*").alias("n"))
+    return texts.select(word.alias("word")).where(F.length("word").between(2, LONGEST_WORD)).groupBy("word").agg(F.count("*").alias("n"))
 
 
 def splitter(counts: dict[str, int], total: int) -> Callable[[str], tuple[str, ...]]:
@@ -60,18 +63,23 @@ def splitter(counts: dict[str, int], total: int) -> Callable[[str], tuple[str, .
     ``counts`` has the vocabulary's words inside the names to be split, ``total`` is the sum of all its counts. A word outside the vocabulary costs ten times more for every letter, single letters included.
     """
     total = math.log(total + 1)
+    letter = math.log(10)
     cost = {w: total - math.log(n) for w, n in counts.items()}
+    longest = max(map(len, cost), default=0)
 
     def split(name: str) -> tuple[str, ...]:
         best, back = [0.0], [0]
+        open_cost, open_at = math.inf, 0  # where an unknown word best starts; it costs the same for every letter
         for end in range(1, len(name) + 1):
-            options = (
-                (best[start] + cost.get(name[start:end], total + math.log(10) * (end - start)), start)
-                for start in range(end)
-            )
-            b, s = min(options)
-            best.append(b)
-            back.append(s)
+            if best[end - 1] - letter * (end - 1) < open_cost:
+                open_cost, open_at = best[end - 1] - letter * (end - 1), end - 1
+            found = (open_cost + total + letter * end, open_at)
+            for start in range(max(0, end - longest), end):
+                known = cost.get(name[start:end])
+                if known is not None:
+                    found = min(found, (best[start] + known, start))
+            best.append(found[0])
+            back.append(found[1])
         words, end = [], len(name)
         while end:
             words.append(name[back[end] : end])
@@ -89,26 +97,31 @@ def path_tokens(path: str) -> list[str]:
 def host_words(hosts: DataFrame, counts: DataFrame, blocked: Sequence[str]) -> DataFrame:
     """``host, token``: the words of each host of a table of distinct ones, as often as they are in it.
 
-    Each distinct part of a name meets the counts of all its substrings, and is split with these alone.
+    Each distinct part of a name meets the counts of its substrings of up to ``LONGEST_WORD`` letters, and is split with these
+    alone; a part that is a blocked word is left whole. Substrings are rows and carry the part's number, so a part of any length
+    is never copied for each of them.
     """
-    top, total = counts.agg(F.coalesce(F.max("n"), F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
-    marks = dict.fromkeys(blocked, top)
-    own = dict(counts.where(F.col("word").isin(list(marks))).collect())
-    total += sum(top - own.get(w, 0) for w in marks)
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    whole = frozenset(blocked)
     named = hosts.select("host", F.explode(F.split("host", "[^a-z]+")).alias("part")).where("part != ''")
-    parts = materialise(named.select("part").distinct(), "parts")
-    inside = F.expr("array_distinct(flatten(transform(sequence(1, length(part)), i -> transform(sequence(1, length(part) - i + 1), k -> substr(part, i, k)))))")
-    known = parts.select("part", F.explode(inside).alias("word")).where(F.length("word") >= 2).join(counts, "word")
-    known = known.groupBy("part").agg(F.collect_list("word").alias("words"), F.collect_list("n").alias("ns"))
+    parts = materialise(named.select("part").distinct().withColumn("number", F.monotonically_increasing_id()), "parts")
+    step = 1024
+    pieces = f"transform(sequence(0, (length(part) - 1) div {step}), j -> substr(part, int(j * {step} + 1), {step + LONGEST_WORD - 1}))"
+    tails = parts.select("number", F.explode(F.expr(pieces)).alias("piece"))
+    tails = tails.select("number", F.explode(F.expr(f"transform(sequence(1, least(length(piece), {step})), i -> substr(piece, i, {LONGEST_WORD}))")).alias("tail"))
+    inside = F.expr("transform(sequence(2, length(tail)), k -> substr(tail, 1, k))")
+    known = tails.where(F.length("tail") >= 2).select("number", F.explode(inside).alias("word")).join(counts, "word")
+    known = known.groupBy("number").agg(F.collect_set(F.struct("word", "n")).alias("known"))
+    known = known.select("number", F.col("known.word").alias("words"), F.col("known.n").alias("ns"))
 
     def split(batches: Iterator[dict]) -> Iterator[dict]:
         for b in batches:
             found = []
             for part, words, ns in zip(b["part"].to_pylist(), b["words"].to_pylist(), b["ns"].to_pylist()):
-                found.append(splitter({**dict(zip(words or (), ns or ())), **marks}, total)(part))
+                found.append([part] if part in whole else splitter(dict(zip(words or (), ns or ())), total)(part))
             yield {"part": b["part"], "tokens": found}
 
-    done = materialise(arrow_pass(parts.join(known, "part", "left").select("part", "words", "ns"), split, "part string, tokens array<string>"), "splits")
+    done = materialise(arrow_pass(parts.join(known, "number", "left").select("part", "words", "ns"), split, "part string, tokens array<string>"), "splits")
     return named.join(done, "part").select("host", F.explode("tokens").alias("token"))
 
 
