@@ -95,7 +95,10 @@ def path_tokens(path: str) -> list[str]:
 
 
 def host_words(hosts: DataFrame, counts: DataFrame, blocked: Sequence[str]) -> DataFrame:
-    """``host, token``: the words of each host of a table of distinct ones, as often as they are in it.
+    """``host, token, marked``: the words of each host of a table of distinct ones, as often as they are in it.
+
+    ``marked`` tells that the token's part of the name has a blocked word, bounded by separators or split off as a word that the
+    counts have; what is left over beside another word, as in ``alpha+bets``, is no word.
 
     Each distinct part of a name meets the counts of its substrings of up to ``LONGEST_WORD`` letters, and is split with these
     alone; a part that is a blocked word is left whole. Substrings are rows and carry the part's number, so a part of any length
@@ -116,13 +119,15 @@ def host_words(hosts: DataFrame, counts: DataFrame, blocked: Sequence[str]) -> D
 
     def split(batches: Iterator[dict]) -> Iterator[dict]:
         for b in batches:
-            found = []
+            found, marked = [], []
             for part, words, ns in zip(b["part"].to_pylist(), b["words"].to_pylist(), b["ns"].to_pylist()):
-                found.append([part] if part in whole else splitter(dict(zip(words or (), ns or ())), total)(part))
-            yield {"part": b["part"], "tokens": found}
+                own = dict(zip(words or (), ns or ()))
+                found.append([part] if part in whole else splitter(own, total)(part))
+                marked.append(part in whole or any(t in whole and t in own for t in found[-1]))
+            yield {"part": b["part"], "tokens": found, "marked": marked}
 
-    done = materialise(arrow_pass(parts.join(known, "number", "left").select("part", "words", "ns"), split, "part string, tokens array<string>"), "splits")
-    return named.join(done, "part").select("host", F.explode("tokens").alias("token"))
+    done = materialise(arrow_pass(parts.join(known, "number", "left").select("part", "words", "ns"), split, "part string, tokens array<string>, marked boolean"), "splits")
+    return named.join(done, "part").select("host", F.explode("tokens").alias("token"), "marked")
 
 
 def scores(parts: DataFrame, counts: DataFrame, *, blocked: Sequence[str], smoothing: float = 0.1) -> DataFrame:
@@ -130,7 +135,7 @@ def scores(parts: DataFrame, counts: DataFrame, *, blocked: Sequence[str], smoot
     keys = materialise(parts.groupBy("host", "path").agg(F.count("*").alias("n")).withColumn("key", F.monotonically_increasing_id()), "urls")
     hosts = keys.groupBy("host").agg(F.sum("n").alias("n"))
     words = materialise(host_words(hosts.select("host"), counts, blocked), "host-words")
-    marked = words.groupBy("host").agg(F.max(F.col("token").isin(list(blocked))).alias("label"))
+    marked = words.groupBy("host").agg(F.max("marked").alias("label"))
     labels = materialise(hosts.join(marked, "host", "left").select("host", "n", F.coalesce("label", F.lit(False)).alias("label")), "labels")
 
     def cut(batches: Iterator[dict]) -> Iterator[dict]:

@@ -166,6 +166,26 @@ def test_top_k(spark):
     assert metric_search.top_k(df.where("false"), asked).count() == 0
 
 
+def test_top_k_of_large_components(spark):
+    """Scores beyond 2^62 are ranked and returned exactly; one beyond 2^63 stops the query instead of wrapping."""
+    rng = np.random.default_rng(8)
+    data = [(i, (rng.normal(size=4) * 4e6).tolist(), 0, "e") for i in range(60)]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>, label int, id string")
+    good = {i: [int(np.floor(x * 256)) for x in v] for i, v, *_ in data}
+    want = []
+    for q in range(0, 60, 10):
+        best = sorted((-sum(x * y for x, y in zip(good[q], good[c])), c) for c in good if c != q)[:5]
+        want += [(q, r + 1, c, -s) for r, (s, c) in enumerate(best)]
+    assert 4 * max(abs(x) for v in good.values() for x in v) ** 2 > 2**62
+    assert sorted(map(tuple, metric_search.top_k(df, df.where("vec_id % 10 = 0"), block_rows=20, query_rows=4).collect())) == sorted(want)
+    huge = spark.createDataFrame([(0, [3e7] * 16), (1, [2e7] * 16), (2, [1e7] * 16)], "vec_id long, embedding array<float>")
+    with pytest.raises(Exception, match="no place in a long"):
+        metric_search.top_k(huge, huge.where("vec_id = 0")).collect()
+    apart = spark.createDataFrame([(0, [3e7] * 16), (1, [-2e7] * 16)], "vec_id long, embedding array<float>")
+    with pytest.raises(Exception, match="no place in a long"):
+        metric_search.top_k(apart, apart.where("vec_id = 0")).collect()
+
+
 def test_vector_links(spark):
     data = vector_rows()
     df = vectors(spark, data)
@@ -240,6 +260,12 @@ def test_extraction(spark):
     ("<article><div class='share-price'>Text</div><p class=notice>no<p>More<blockquote><p class=ad>no</blockquote>End</article>", "Text\nMore\nEnd"),
     ("<article><ul><li class=ad>no<ul><li>no</li><li>no</ul>no<li>Text</ul><table><tr><td class=ad>no<td>More<tr class=ad><td>no</table></article>", "Text\nMore"),
     ("<article><dl><dt class=ad>no<dd>Text</dl></article>", "Text"),
+    ("<article><p>Text</p><div class='reader-comments'>no</div><section id=comment-list><p>no</p></section><div class=sidebar-left>no</div>End</article>", "Text\nEnd"),
+    ("<article><div class='ad-slot x'>no</div><p class=cookie-banner>no</p><ul class=share-buttons><li>no</ul><div class=related_posts>no</div><p class=has-sidebar>Text</article>", "Text"),
+    ("<article><p>Text <img alt=\"a > b\" src=x> more <a title='1 > 0' href=y>link</a></p></article>", "Text more link"),
+    ("<article><p hidden>no</p><p style='color:red; display: none'>no</p><p>Text<span class=ad>no <span>no</span> no</span> <b hidden>no</b>more</article>", "Text more"),
+    ("<article><p alt='a hidden thing'>Text</p><p><span class=ad>no</p><p>More</p></article>", "Text\nMore"),
+    ("<article><p>Text <span class='share'>this</span> <em>don't</em> a=\"b</p><p x=\"1>2\">More</article>", "Text this don't a=\"b\nMore"),
 ])
 def test_extraction_keeps_whole_articles(page, want):
     lines, zones = extraction.lines_of(page)
@@ -365,6 +391,45 @@ def test_url_filter_keeps_rare_words_and_tokens(spark):
     assert got[1].verdict == "block" and got[10].verdict == "allow"
 
 
+def test_split_is_the_cheapest_of_all():
+    counts = {"".join(random.choices("ab", k=random.randint(2, 4))): random.randint(1, 50) for _ in range(12)}
+    total, step = 500, np.log(10)
+    cost = {w: np.log(total + 1) - np.log(n) for w, n in counts.items()}
+
+    def price(words):
+        return sum(cost.get(w, np.log(total + 1) + step * len(w)) for w in words)
+
+    for _ in range(40):
+        name = "".join(random.choices("abc", k=random.randint(1, 10)))
+        splits = []
+        for cuts in range(1 << (len(name) - 1)):
+            at = [0, *[i + 1 for i in range(len(name) - 1) if cuts >> i & 1], len(name)]
+            splits.append([name[i:j] for i, j in zip(at, at[1:])])
+        found = urls.splitter(counts, total)(name)
+        assert "".join(found) == name and price(found) == pytest.approx(min(map(price, splits)))
+    assert urls.splitter({}, 10)("") == () and len(urls.splitter(counts, total)("ab" * 50_000)) > 1000
+
+
+def test_url_filter_leaves_innocent_hosts(spark):
+    """Names that only hold a listed word's letters are no examples of it; words that separators or the pages' counts bound are."""
+    clean = ["threads", "downloads", "uploads", "squads", "alphabets", "pillsbury", "plainhost"]
+    bad = ["best-casino", "bestcasino", "online-poker", "casino"]
+    words = "the best alpha online host plain casino down up heads bury " * 5
+    data = [(i, f"http://www.{h}.net/news/{i}", words) for i, h in enumerate(clean)]
+    data += [(100 + i, f"http://{h}.net/bonus/{i}", words) for i, h in enumerate(bad)]
+    data += [(200 + i, f"http://www.site{i}.net/news/{i}", words) for i in range(40)]
+    data += [(301, "http:///x", ""), (302, "://" + "q" * 5_000, None)]
+    got = {r.page_id: r.verdict for r in urls.judge(spark.createDataFrame(data, "page_id long, url string, html string")).collect()}
+    assert len(got) == len(data)
+    assert [got[i] for i in range(len(clean))] == ["allow"] * len(clean)
+    assert [got[100 + i] for i in range(len(bad))] == ["block"] * len(bad)
+    long = spark.createDataFrame([(1, f"http://{'casinobest' * 10_000}.net/", words), (2, "http://x.net/", words)], "page_id long, url string, html string")
+    assert {r.page_id for r in urls.judge(long).collect()} == {1, 2}
+    hosts = long.select(urls.host_of(F.col("url")).alias("host"))
+    tokens = urls.host_words(hosts, urls.word_counts(long, "html"), urls.BLOCKED_WORDS).where(F.length("host") > 100).groupBy("token").count().collect()
+    assert {r["token"]: r["count"] for r in tokens} == {"casino": 10_000, "best": 10_000, "net": 1}
+
+
 def test_toxicity_held_out(spark, small):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     fold = F.pmod(F.xxhash64("doc_id"), F.lit(2))
