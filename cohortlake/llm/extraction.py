@@ -263,20 +263,27 @@ def extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url",
         F.regexp_extract(F.coalesce(F.col(url_col), F.lit("")), r"://[^/?#]*([^?#]*)", 1).alias("path"),
     )
 
-    def parse(batches: Iterator[dict]) -> Iterator[dict]:
+    # Pages are parsed twice: lines' hashes are stored for the neighbours, and texts go straight to the join. Storing both would
+    # take a copy of all texts beside the one that is shuffled.
+    def hash_lines(batches: Iterator[dict]) -> Iterator[dict]:
         for b in batches:
-            hashed, wanted, places = [], [], []
+            found = (lines_of(t.as_py())[0] for t in b["html"])
+            hashed = [[xxhash.xxh3_64_intdigest(x.encode("utf-8", "surrogatepass")) - (1 << 63) for x in lines] for lines in found]
+            yield {**{c: b[c] for c in ("page", "key", "host", "path")}, "lines": hashed}
+
+    def wanted_lines(batches: Iterator[dict]) -> Iterator[dict]:
+        for b in batches:
+            wanted, places = [], []
             for t in b["html"]:
                 lines, zones = lines_of(t.as_py())
                 best = TEXT if TEXT in zones else OPEN
-                hashed.append([xxhash.xxh3_64_intdigest(x.encode("utf-8", "surrogatepass")) - (1 << 63) for x in lines])
                 wanted.append([x for x, z in zip(lines, zones) if z == best])
                 # lines of an article stay whatever the neighbour has, so they need no place
                 places.append([i for i, z in enumerate(zones) if z == OPEN] if best == OPEN else None)
-            yield {**{c: b[c] for c in ("id", "url", "page", "key", "host", "path")}, "lines": hashed, "wanted": wanted, "places": places}
+            yield {**{c: b[c] for c in ("id", "url", "page", "key")}, "wanted": wanted, "places": places}
 
-    ddl = f"id {kind}, url string, page string, key long, host string, path string, lines array<bigint>, wanted array<string>, places array<int>"
-    parsed = materialise(arrow_pass(source, parse, ddl), "lines")
+    hashing = arrow_pass(source.drop("id", "url"), hash_lines, "page string, key long, host string, path string, lines array<bigint>")
+    parsed = materialise(hashing, "lines")
     hashed = parsed.select("page", "key", "lines").dropDuplicates(["page", "key"])
     pairs = neighbours(parsed.select("page", "key", "host", "path").distinct())
     other = hashed.select(F.col("page").alias("other_page"), F.col("key").alias("other_key"), F.col("lines").alias("other_lines"))
@@ -288,7 +295,8 @@ def extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url",
             yield {"page": b["page"], "key": b["key"], "shared": shared}
 
     aligned = arrow_pass(both, align, "page string, key long, shared array<int>")
-    joined = parsed.select("id", "url", "page", "key", "wanted", "places").join(aligned, ["page", "key"], "left")
+    ddl = f"id {kind}, url string, page string, key long, wanted array<string>, places array<int>"
+    joined = arrow_pass(source.drop("host", "path"), wanted_lines, ddl).join(aligned, ["page", "key"], "left")
     shared = F.coalesce("shared", F.array().cast("array<int>"))
     left = F.filter(F.arrays_zip("wanted", "places"), lambda x: ~F.array_contains(shared, x["places"]))
     text = F.array_join(F.when(F.col("places").isNull(), F.col("wanted")).otherwise(F.transform(left, lambda x: x["wanted"])), "\n")
