@@ -73,22 +73,6 @@ def last_rows(df: DataFrame, n: int, *order: str) -> DataFrame:
     return df.orderBy(*[F.col(c).desc() for c in order]).limit(n).orderBy(*order)
 
 
-def model_table(spark) -> DataFrame:
-    rows = [(m.key, m.label_source, m.has_true_oot, m.expected_bads, m.expected_bad_rate, m.limitation) for m in cfg.MODELS]
-    return spark.createDataFrame(
-        rows,
-        "model string, label_source string, has_true_oot boolean, expected_bads bigint, "
-        "expected_bad_rate double, limitation string",
-    )
-
-
-def loss_component_table(spark) -> DataFrame:
-    rows = [(s.component, s.applies_to, s.is_modelled, s.method, s.limitation) for s in cfg.LOSS_COMPONENTS]
-    return spark.createDataFrame(
-        rows, "component string, applies_to string, is_modelled boolean, method string, limitation string"
-    )
-
-
 def source_table(spark) -> DataFrame:
     rows = [
         (s.name, s.filename, s.role, s.grain, s.expected_rows, list(s.natural_key), list(s.cluster_by))
