@@ -1,16 +1,16 @@
 """Embedding near-duplicates by a robust-pruned flat graph over overlapping cluster shards.
 
 Equal vectors are one from the start. The rest go, within their label, to the shard of their nearest cluster centre and to all
-whose border they are near enough to for a link across it, so that every link lies inside some shard;
-every shard builds a graph in which each vector keeps near neighbours that no kept neighbour is much nearer to
-(robust pruning), and searches it for each of its vectors: greedily from the medoid and the vector's own place, then on from
-all vectors in range as long as that finds more. What the search misses is taken from the shard's similarities. All is in
-double precision. A sample of vectors compared with all others checks the recall.
+whose border they are near enough to for a link across it, so that every link lies inside some shard. Every shard lists for
+each of its vectors near neighbours that no kept neighbour is much nearer to (robust pruning); a vector's lists of all its
+shards are united. The graph of united lists is searched for every vector: from medoids and the vector's own place, then on
+from all vectors in range as long as that finds more. A sample in every shard is compared with the whole shard; where the search
+missed one of its links, all similarities of that shard are taken. A pair of vectors is counted in the first shard both are
+in, and a shard gives out one row per vector, never its pairs. All decisions are in double precision.
 """
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,83 +41,180 @@ def centres(sample: np.ndarray, n: int, rounds: int = 8) -> np.ndarray:
     return c
 
 
-def pruned_graph(sims: np.ndarray, degree: int, alpha: float, pool: int = 64) -> list[np.ndarray]:
-    """Adjacency lists by robust pruning: a candidate goes if a nearer kept neighbour is ``alpha`` times nearer to it.
+def pruned_lists(x: np.ndarray, *, degree: int, alpha: float, pool: int, far: int, block: int = 512) -> np.ndarray:
+    """Each vector's list by robust pruning, filled up with -1: a candidate goes if a kept one is ``alpha`` times nearer to it.
 
-    Candidates are a vector's nearest; an edge holds both ways, and a list that grows beyond twice the degree is pruned again.
+    Candidates are the ``pool`` nearest and ``far`` evenly spaced ones, which make the long steps of the search.
     """
-    n = len(sims)
+    n = len(x)
+    sims = x.astype(np.float32) @ x.astype(np.float32).T
     dist = np.sqrt(np.maximum(2 - 2 * sims, 0))
+    lists = np.full((n, degree), -1)
+    spread = np.unique(np.linspace(0, n - 1, min(far, n)).astype(int))
+    for low in range(0, n, block):
+        own = np.arange(low, min(low + block, n))
+        take = min(pool, n)
+        near = np.argpartition(dist[own], take - 1, axis=1)[:, :take]
+        at = np.concatenate([near, np.broadcast_to(spread, (len(own), len(spread)))], axis=1)
+        order = np.argsort(dist[own[:, None], at], axis=1, kind="stable")
+        at = np.take_along_axis(at, order, axis=1)
+        away = dist[own[:, None], at]
+        alive = at != own[:, None]
+        for k in range(degree):
+            on = np.flatnonzero(alive.any(axis=1))
+            if not len(on):
+                break
+            first = alive[on].argmax(axis=1)
+            best = at[on, first]
+            lists[low + on, k] = best
+            alive[on] &= alpha * dist[best[:, None], at[on]] > away[on]
+            alive[on] &= at[on] != best[:, None]
+    return lists
+
+
+def both_ways(p: np.ndarray, q: np.ndarray, n: int, width: int) -> np.ndarray:
+    """Neighbours per vector of the edges ``p -> q``, own lists first, then those that list it; filled up with the vector itself."""
+    keys = np.concatenate([p * n + q, q * n + p])
+    _, first = np.unique(keys, return_index=True)
+    first.sort()
+    u, v = keys[first] // n, keys[first] % n
+    order = np.argsort(u, kind="stable")
+    u, v = u[order], v[order]
+    rank = np.arange(len(u)) - np.searchsorted(u, u)
+    out = np.repeat(np.arange(n)[:, None], min(width, int(rank.max(initial=0)) + 1), axis=1)
+    fits = rank < width
+    out[u[fits], rank[fits]] = v[fits]
+    return out
+
+
+def linked(x: np.ndarray, a: np.ndarray, b: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Similarities of pairs and whether they are links; those at the threshold are summed in one order, alike in all shards."""
+    s = np.einsum("ij,ij->i", x[a], x[b])
+    good = s >= threshold
+    close = np.flatnonzero(np.abs(s - threshold) < 1e-9)
+    good[close] = (x[a[close]] * x[b[close]]).sum(axis=1) >= threshold
+    return s, good
+
+
+def search(x: np.ndarray, graph: np.ndarray, starts: np.ndarray, *, threshold: float, beam: int, block: int = 128, lot: int = 50_000) -> np.ndarray:
+    """Which vectors the graph leads each vector to within the threshold, as a matrix of flags.
 
-    def prune(p: int, pool_of: np.ndarray) -> list[int]:
-        pool_of = pool_of[pool_of != p]
-        pool_of = pool_of[np.argsort(dist[p, pool_of], kind="stable")]
-        kept: list[int] = []
-        while len(pool_of) and len(kept) < degree:
-            best = int(pool_of[0])
-            kept.append(best)
-            pool_of = pool_of[1:]
-            pool_of = pool_of[alpha * dist[best, pool_of] > dist[p, pool_of]]
-        return kept
-
-    take = min(n, pool + 1)
-    near = np.argpartition(-sims, take - 1, axis=1)[:, :take]
-    lists = [prune(p, near[p]) for p in range(n)]
-    both = [set(x) for x in lists]
-    for p, x in enumerate(lists):
-        for q in x:
-            both[q].add(p)
-    return [np.asarray(sorted(x) if len(x) <= 2 * degree else prune(p, np.asarray(sorted(x))), int) for p, x in enumerate(both)]
-
-
-def range_search(graph: list[np.ndarray], sims: np.ndarray, starts: tuple[int, ...], reach: float, beam: int) -> list[int]:
-    """Vectors of similarity ``reach`` or more to one query, whose similarities to all are ``sims``.
-
-    Best-first from ``starts`` until the ``beam`` nearest seen are all expanded; then every vector in range is expanded too.
+    All queries of a block step together: every vector that is newly seen and among the ``beam`` nearest of its query, or in
+    range of it, is expanded in the next step. It ends when no query has one left.
     """
-    seen = set(starts)
-    todo = [(-sims[s], s) for s in seen]
-    heapq.heapify(todo)
-    best = sorted(sims[s] for s in seen)
-    found = [s for s in seen if sims[s] >= reach]
-    while todo:
-        s, p = heapq.heappop(todo)
-        if -s < reach and len(best) >= beam and -s < best[0]:
-            break
-        new = [q for q in graph[p].tolist() if q not in seen]
-        seen.update(new)
-        for q in new:
-            v = sims[q]
-            if v >= reach:
-                found.append(q)
-            if len(best) < beam:
-                heapq.heappush(best, v)
-            elif v > best[0]:
-                heapq.heapreplace(best, v)
-            elif v < reach:
-                continue
-            heapq.heappush(todo, (-v, q))
-    return found
-
-
-def shard_work(rows: pa.Table, threshold: float, degree: int, alpha: float, beam: int) -> pa.Table:
-    """A shard's links as pairs of ids, both ways: what the search finds, and what it misses of the shard's similarities."""
-    ids = rows["id"].to_numpy()
-    order = np.argsort(ids, kind="stable")
-    ids, x = ids[order], matrix(rows["v"])[order]
-    sims = x @ x.T
-    graph = pruned_graph(sims, degree, alpha)
-    medoid = int((x @ x.mean(axis=0)).argmax())
-    hit = np.zeros(sims.shape, bool)
-    for p in range(len(ids)):
-        hit[p, range_search(graph, sims[p], (medoid, p), threshold, beam)] = True
-    hit |= sims >= threshold - 1e-9
+    n = len(x)
+    hit = np.zeros((n, n), bool)
+    for low in range(0, n, block):
+        m = min(block, n - low)
+        seen = np.zeros(m * n, bool)
+        best = np.full((m, beam), -np.inf)
+        own = np.arange(m)
+        keys = np.unique(np.concatenate([own * n + own + low, (own[:, None] * n + starts).ravel()]))
+        while len(keys):
+            seen[keys] = True
+            q, p = keys // n, keys % n
+            s, good = np.empty(len(keys)), np.empty(len(keys), bool)
+            for i in range(0, len(keys), lot):
+                s[i : i + lot], good[i : i + lot] = linked(x, q[i : i + lot] + low, p[i : i + lot], threshold)
+            hit[q[good] + low, p[good]] = True
+            rank = np.arange(len(q)) - np.searchsorted(q, q)
+            fresh = np.full((m, int(rank.max()) + 1), -np.inf)
+            fresh[q, rank] = s
+            best = -np.partition(-np.concatenate([best, fresh], axis=1), beam - 1, axis=1)[:, :beam]
+            open_ = np.flatnonzero(good | (s >= best.min(axis=1)[q]))
+            new = []
+            for i in range(0, len(open_), lot):
+                at = open_[i : i + lot]
+                k = (q[at][:, None] * n + graph[p[at]]).ravel()
+                new.append(np.unique(k[~seen[k]]))
+            keys = np.unique(np.concatenate(new)) if new else np.empty(0, int)
+    return hit
+
+
+def least_linked(hit: np.ndarray) -> np.ndarray:
+    """Per vector the first one it reaches by links; ``hit`` is symmetric and every vector hits itself."""
+    label = np.arange(len(hit))
     a, b = np.nonzero(hit)
-    close = np.abs(sims[a, b] - threshold) < 1e-9  # decided alike in every shard and both ways
-    good = sims[a, b] >= threshold
-    good[close] = (x[a[close]] * x[b[close]]).sum(axis=1) >= threshold
-    good &= ids[a] != ids[b]
-    return pa.table({"a": as_array(ids[a[good]], pa.int64()), "b": as_array(ids[b[good]], pa.int64())})
+    starts = np.searchsorted(a, label)
+    while True:
+        low = np.minimum.reduceat(label[b], starts)
+        low = low[low]
+        if (low == label).all():
+            return label
+        label = low
+
+
+def build_shard(rows: pa.Table, degree: int, alpha: float, pool: int, far: int) -> pa.Table:
+    """``shard, id, near``: each vector's pruned list in this shard, as ids."""
+    rows = rows.take(np.argsort(rows["id"].to_numpy(), kind="stable"))
+    ids = rows["id"].to_numpy()
+    lists = pruned_lists(matrix(rows["v"]), degree=degree, alpha=alpha, pool=pool, far=far)
+    kept = lists >= 0
+    near = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], kept.sum(axis=1).cumsum()]), pa.int32()), pa.array(ids[lists[kept]], pa.int64()))
+    return pa.table({"shard": rows["shard"], "id": rows["id"], "near": near})
+
+
+def parts_of(column) -> tuple[np.ndarray, pa.Array]:
+    """Row numbers and values of a column of arrays."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return np.repeat(np.arange(len(column)), column.value_lengths().to_numpy(zero_copy_only=False)), column.flatten()
+
+
+def search_shard(rows: pa.Table, threshold: float, degree: int, beam: int, medoids: int, audited: int) -> pa.Table:
+    """``id, n, root`` of a shard's vectors with links, and a row without id on how the search did.
+
+    ``n`` counts the vectors (copies included) linked by pairs this shard owns; ``root`` is the least vector reached here.
+    ``found`` of ``truth`` links of ``audited`` vectors came from the search; where one is missing, the shard is completed.
+    """
+    rows = rows.take(np.argsort(rows["id"].to_numpy(), kind="stable"))
+    ids, x, own = rows["id"].to_numpy(), matrix(rows["v"]), rows["shard"][0].as_py()
+    n = len(ids)
+    p, q = parts_of(rows["near"])
+    q = q.to_numpy(zero_copy_only=False)
+    at = np.minimum(np.searchsorted(ids, q), n - 1)
+    here = ids[at] == q
+    graph = both_ways(p[here], at[here], n, 2 * degree)
+    starts = np.unique((x @ centres(x, min(medoids, n)).T).argmax(axis=0))
+    hit = search(x, graph, starts, threshold=threshold, beam=beam)
+    np.fill_diagonal(hit, True)
+
+    def truth(low: np.ndarray) -> np.ndarray:
+        flags = x[low] @ x.T >= threshold - 1e-9
+        a, b = np.nonzero(flags)
+        for i in range(0, len(a), 50_000):
+            flags[a[i : i + 50_000], b[i : i + 50_000]] = linked(x, low[a[i : i + 50_000]], b[i : i + 50_000], threshold)[1]
+        flags[np.arange(len(low)), low] = True
+        return flags
+
+    asked = np.unique(np.linspace(0, n - 1, min(audited, n)).astype(int))
+    true = truth(asked)
+    found, total = int((hit[asked] & true).sum()) - len(asked), int(true.sum()) - len(asked)
+    hit |= hit.T
+    completed = bool((true & ~hit[asked]).any())
+    if completed:
+        for low in range(0, n, 512):
+            hit[low : low + 512] |= truth(np.arange(low, min(low + 512, n)))
+        hit |= hit.T
+    root = least_linked(hit)
+    r, names = parts_of(rows["shards"])
+    coded = names.dictionary_encode()
+    earlier = np.asarray([name < own for name in coded.dictionary.to_pylist()], bool)
+    codes = coded.indices.to_numpy(zero_copy_only=False)
+    inside = np.zeros((n, len(earlier)), np.float32)
+    inside[r, codes] = 1
+    inside = inside[:, earlier & (inside.sum(axis=0) > 1)]
+    weights, counts = rows["n"].to_numpy().astype(float), np.zeros(n)
+    for low in range(0, n, 512):
+        counted = hit[low : low + 512] & (inside[low : low + 512] @ inside.T == 0)
+        counted[np.arange(len(counted)), np.arange(low, low + len(counted))] = False
+        counts[low : low + 512] = counted.astype(float) @ weights
+    out = np.flatnonzero((counts > 0) | (root != np.arange(n)))
+    note, none = [found, total, int(completed)], [None] * len(out)
+    return pa.table({
+        "id": pa.array([*ids[out].tolist(), None], pa.int64()), "n": pa.array([*counts[out].astype(int).tolist(), None], pa.int64()),
+        "root": pa.array([*ids[root[out]].tolist(), None], pa.int64()),
+        **{c: pa.array([*none, v], pa.int64()) for c, v in zip(("found", "truth", "completed"), note)},
+    })
 
 
 def members(x: np.ndarray, c: np.ndarray, margin: float) -> tuple[np.ndarray, np.ndarray]:
@@ -199,16 +296,23 @@ def shards_of(reps: DataFrame, *, threshold: float, shard_rows: int, sample_rows
         todo = parts.join(judged.where("fine").select("cell"), "cell", "left_semi").select("id", "v", F.concat_ws(".", "cell", "sub").alias("cell"))
 
 
-def graph_links(reps: DataFrame, *, threshold: float, shard_rows: int, sample_rows: int, max_centres: int, degree: int, alpha: float,
-                beam: int) -> DataFrame:
-    """Directed links ``a, b`` between different vectors of one label."""
+def shard_links(reps: DataFrame, *, threshold: float, shard_rows: int, sample_rows: int, max_centres: int, degree: int, alpha: float,
+                pool: int, far: int, beam: int, medoids: int, audited: int) -> DataFrame:
+    """What ``search_shard`` gives, of all shards of vectors ``id, label, v, n``."""
     shards = shards_of(reps, threshold=threshold, shard_rows=shard_rows, sample_rows=sample_rows, max_centres=max_centres)
-    work = shards.groupBy("shard").applyInArrow(lambda rows: shard_work(rows, threshold, degree, alpha, beam), "a long, b long")
-    return materialise(work.distinct(), "links")
+    shards = materialise(shards, "shards")
+    built = shards.groupBy("shard").applyInArrow(lambda rows: build_shard(rows, degree, alpha, pool, far), "shard string, id long, near array<long>")
+    united = built.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"), F.collect_list("shard").alias("shards"))
+    rows = shards.join(united.join(reps.select("id", "n"), "id"), "id")
+    work = rows.groupBy("shard").applyInArrow(
+        lambda rows: search_shard(rows, threshold, degree, beam, medoids, audited),
+        "id long, n long, root long, found long, truth long, completed long",
+    )
+    return materialise(work, "links")
 
 
-def recall_of(links: DataFrame, reps: DataFrame, *, threshold: float, queries: int) -> float:
-    """Share of the true links of ``queries`` sampled vectors that were found; 1 if they have none."""
+def recall_of(counts: DataFrame, reps: DataFrame, *, threshold: float, queries: int) -> float:
+    """Share of the true links of ``queries`` sampled vectors that ``counts`` (``id, n_links``) has; 1 if they have none."""
     asked = reps.orderBy(F.xxhash64("id", F.lit("audit")), "id").limit(queries).select("id", "label", "v").toArrow()
     if not len(asked):
         return 1.0
@@ -216,13 +320,13 @@ def recall_of(links: DataFrame, reps: DataFrame, *, threshold: float, queries: i
 
     def all_links(batches: Iterator[dict]) -> Iterator[dict]:
         for t in batches:
-            ids = t["id"].to_numpy()
-            hit = (q @ matrix(t["v"]).T >= threshold) & (q_labels[:, None] == t["label"].to_numpy()[None, :]) & (q_ids[:, None] != ids[None, :])
-            i, j = np.nonzero(hit)
-            yield {"a": q_ids[i], "b": ids[j]}
+            hit = (q @ matrix(t["v"]).T >= threshold) & (q_labels[:, None] == t["label"].to_numpy()[None, :])
+            hit &= q_ids[:, None] != t["id"].to_numpy()[None, :]
+            yield {"id": q_ids, "true": (hit.astype(float) @ t["n"].to_numpy().astype(float)).astype(int)}
 
-    true = arrow_pass(reps.select("id", "label", "v"), all_links, "a long, b long")
-    r = true.join(links.withColumn("hit", F.lit(1)), ["a", "b"], "left").agg(F.count("*"), F.count("hit")).first()
+    true = arrow_pass(reps.select("id", "label", "v", "n"), all_links, "id long, true long").groupBy("id").agg(F.sum("true").alias("true"))
+    got = F.coalesce("n_links", F.lit(0))
+    r = true.join(counts, "id", "left").agg(F.sum("true"), F.sum(F.least(got, "true"))).first()
     return r[1] / r[0] if r[0] else 1.0
 
 
@@ -233,21 +337,26 @@ def near_duplicates(
     vec_col: str = "embedding",
     label_col: str = "label",
     threshold: float = 0.98,
-    shard_rows: int = 500,
+    shard_rows: int = 1000,
     sample_rows: int = 16_384,
     max_centres: int = 1024,
     degree: int = 16,
     alpha: float = 1.2,
-    beam: int = 24,
+    pool: int = 64,
+    far: int = 32,
+    beam: int = 12,
+    medoids: int = 4,
+    shard_audit: int = 64,
     audit_queries: int = 200,
     min_recall: float = 0.9,
 ) -> DataFrame:
-    """``vec_id, n_links, component_id, kept, recall`` per row: links by cosine within a label, and their components.
+    """``vec_id, n_links, component_id, kept`` per row: links by cosine within a label, and their components.
 
     Vectors that are null, zero or hold null or non-finite components, and those with a null label, link with nothing; each is its own component and
     kept. Equal vectors of one label link with each other and share all other links; repeated rows (same id) are one vector.
-    Vectors of different length do not link. Centres of each split come from about ``sample_rows`` vectors at most; all are indexed. ``recall`` is
-    the audited share of true links found. Rows with null ids come back unlinked; an empty table gives an empty one; other
+    Vectors of different length do not link. Centres of each split come from about ``sample_rows`` vectors at most; all are indexed. ``search_recall``
+    is the share of true links the graph search alone found for ``shard_audit`` vectors of every shard, ``completed`` the share of shards
+    completed since it missed one, ``recall`` the audited share of true links in the result. Rows with null ids come back unlinked; an empty table gives an empty one; other
     columns are ignored.
     """
     x = F.col(vec_col)
@@ -257,24 +366,29 @@ def near_duplicates(
     base = base.withColumn("h", F.xxhash64("v")).withColumn("d", F.size("v"))
     firsts = base.distinct().groupBy("label", "d", "h", "v").agg(F.min("id").alias("id"), F.count("*").alias("n"))
     firsts = materialise(firsts, "vectors")
-    links = recall = None
+    found = recall = None
     for d in sorted(r["d"] for r in firsts.select("d").distinct().collect()):
         reps = firsts.where(F.col("d") == d)
-        found = graph_links(reps, threshold=threshold, shard_rows=shard_rows, sample_rows=sample_rows, max_centres=max_centres,
-                            degree=degree, alpha=alpha, beam=beam)
-        r = recall_of(found, reps, threshold=threshold, queries=audit_queries)
+        part = shard_links(reps, threshold=threshold, shard_rows=shard_rows, sample_rows=sample_rows, max_centres=max_centres, degree=degree,
+                           alpha=alpha, pool=pool, far=far, beam=beam, medoids=medoids, audited=shard_audit)
+        r = recall_of(part.where("id IS NOT NULL").groupBy("id").agg(F.sum("n").alias("n_links")), reps, threshold=threshold, queries=audit_queries)
         if r < min_recall:
             raise RuntimeError(f"only {r:.3f} of the audited links were found")
         recall = r if recall is None else min(recall, r)
-        links = found if links is None else links.unionByName(found)
+        found = part if found is None else found.unionByName(part)
     ids = vectors.select(F.col(id_col).alias("doc"), F.col(label_col).cast("long").alias("label"), x.alias("v"), F.xxhash64(x).alias("h"), good.alias("good"))
-    if links is None:
+    if found is None:
         own = F.col("doc").cast("long")
-        return ids.select(F.col("doc").alias(id_col), F.lit(0).cast("long").alias("n_links"), own.alias("component_id"), F.lit(True).alias("kept"), F.lit(1.0).alias("recall"))
-    degree_of = links.join(firsts.select(F.col("id").alias("b"), "n"), "b").groupBy("a").agg(F.sum("n").alias("n_links"))
-    of = components(links, "a", "b")
+        return ids.select(
+            F.col("doc").alias(id_col), F.lit(0).cast("long").alias("n_links"), own.alias("component_id"), F.lit(True).alias("kept"),
+            F.lit(1.0).alias("recall"), F.lit(1.0).alias("search_recall"), F.lit(0.0).alias("completed"),
+        )
+    audit = found.where("id IS NULL").agg(F.sum("found"), F.sum("truth"), F.avg("completed")).first()
+    search_recall = audit[0] / audit[1] if audit[1] else 1.0
+    degree_of = found.where("n > 0").groupBy("id").agg(F.sum("n").alias("n_links"))
+    of = components(found.where("id != root"), "id", "root")
     known = (
-        firsts.join(degree_of.withColumnRenamed("a", "id"), "id", "left").join(of, "id", "left")
+        firsts.join(degree_of, "id", "left").join(of, "id", "left")
         .select("label", "h", "v", F.lit(True).alias("good"), (F.coalesce("n_links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component_id", "id").alias("component_id"))
     )
     out = ids.join(known, ["label", "h", "v", "good"], "left")
@@ -282,4 +396,5 @@ def near_duplicates(
     return out.select(
         F.col("doc").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),
         F.coalesce(component == F.col("doc"), F.lit(True)).alias("kept"), F.lit(float(recall)).alias("recall"),
+        F.lit(float(search_recall)).alias("search_recall"), F.lit(float(audit[2])).alias("completed"),
     )
