@@ -96,27 +96,47 @@ def linked(x: np.ndarray, a: np.ndarray, b: np.ndarray, threshold: float) -> tup
     return s, good
 
 
-def search(x: np.ndarray, graph: np.ndarray, starts: np.ndarray, *, threshold: float, beam: int, block: int = 128, lot: int = 50_000) -> np.ndarray:
-    """Which vectors the graph leads each vector to within the threshold, as a matrix of flags.
+def to_ask(inside: np.ndarray) -> np.ndarray:
+    """Rows whose searches see every pair a shard owns. ``inside``: which earlier shards each row is in; a pair in one together is owned there.
+
+    Rows in the same earlier shards form a group. A group that owns pairs of its own is asked, and of two groups that own
+    pairs with each other one.
+    """
+    if not inside.shape[1]:
+        return np.arange(len(inside))
+    groups, of, sizes = np.unique(inside > 0, axis=0, return_inverse=True, return_counts=True)
+    of = of.reshape(-1)
+    flags = groups.astype(np.float32)
+    asked = ~groups.any(axis=1)
+    for g in np.argsort(sizes, kind="stable"):
+        if not asked[g]:
+            asked[g] = bool(((flags @ flags[g] == 0) & ~asked).any())
+    return np.flatnonzero(asked[of])
+
+
+def search(x: np.ndarray, asked: np.ndarray, graph: np.ndarray, starts: np.ndarray, *, threshold: float, beam: int, block: int = 128,
+           lot: int = 50_000) -> np.ndarray:
+    """Which vectors the graph leads each of the ``asked`` to within the threshold, as a matrix of flags over all vectors.
 
     All queries of a block step together: every vector that is newly seen and among the ``beam`` nearest of its query, or in
     range of it, is expanded in the next step. It ends when no query has one left.
     """
     n = len(x)
     hit = np.zeros((n, n), bool)
-    for low in range(0, n, block):
-        m = min(block, n - low)
+    for first in range(0, len(asked), block):
+        of = asked[first : first + block]
+        m = len(of)
         seen = np.zeros(m * n, bool)
         best = np.full((m, beam), -np.inf)
         own = np.arange(m)
-        keys = np.unique(np.concatenate([own * n + own + low, (own[:, None] * n + starts).ravel()]))
+        keys = np.unique(np.concatenate([own * n + of, (own[:, None] * n + starts).ravel()]))
         while len(keys):
             seen[keys] = True
             q, p = keys // n, keys % n
             s, good = np.empty(len(keys)), np.empty(len(keys), bool)
             for i in range(0, len(keys), lot):
-                s[i : i + lot], good[i : i + lot] = linked(x, q[i : i + lot] + low, p[i : i + lot], threshold)
-            hit[q[good] + low, p[good]] = True
+                s[i : i + lot], good[i : i + lot] = linked(x, of[q[i : i + lot]], p[i : i + lot], threshold)
+            hit[of[q[good]], p[good]] = True
             rank = np.arange(len(q)) - np.searchsorted(q, q)
             fresh = np.full((m, int(rank.max()) + 1), -np.inf)
             fresh[q, rank] = s
@@ -175,7 +195,14 @@ def search_shard(rows: pa.Table, threshold: float, degree: int, beam: int, medoi
     here = ids[at] == q
     graph = both_ways(p[here], at[here], n, 2 * degree)
     starts = np.unique((x @ centres(x, min(medoids, n)).T).argmax(axis=0))
-    hit = search(x, graph, starts, threshold=threshold, beam=beam)
+    r, names = parts_of(rows["shards"])
+    coded = names.dictionary_encode()
+    earlier = np.asarray([name < own for name in coded.dictionary.to_pylist()], bool)
+    inside = np.zeros((n, len(earlier)), np.float32)
+    inside[r, coded.indices.to_numpy(zero_copy_only=False)] = 1
+    inside = inside[:, earlier & (inside.sum(axis=0) > 1)]
+    mine = to_ask(inside)
+    hit = search(x, mine, graph, starts, threshold=threshold, beam=beam)
     np.fill_diagonal(hit, True)
 
     def truth(low: np.ndarray) -> np.ndarray:
@@ -186,7 +213,7 @@ def search_shard(rows: pa.Table, threshold: float, degree: int, beam: int, medoi
         flags[np.arange(len(low)), low] = True
         return flags
 
-    asked = np.unique(np.linspace(0, n - 1, min(audited, n)).astype(int))
+    asked = mine[np.unique(np.linspace(0, len(mine) - 1, min(audited, len(mine))).astype(int))]
     true = truth(asked)
     found, total = int((hit[asked] & true).sum()) - len(asked), int(true.sum()) - len(asked)
     hit |= hit.T
@@ -196,13 +223,6 @@ def search_shard(rows: pa.Table, threshold: float, degree: int, beam: int, medoi
             hit[low : low + 512] |= truth(np.arange(low, min(low + 512, n)))
         hit |= hit.T
     root = least_linked(hit)
-    r, names = parts_of(rows["shards"])
-    coded = names.dictionary_encode()
-    earlier = np.asarray([name < own for name in coded.dictionary.to_pylist()], bool)
-    codes = coded.indices.to_numpy(zero_copy_only=False)
-    inside = np.zeros((n, len(earlier)), np.float32)
-    inside[r, codes] = 1
-    inside = inside[:, earlier & (inside.sum(axis=0) > 1)]
     weights, counts = rows["n"].to_numpy().astype(float), np.zeros(n)
     for low in range(0, n, 512):
         counted = hit[low : low + 512] & (inside[low : low + 512] @ inside.T == 0)
@@ -292,6 +312,7 @@ def shards_of(reps: DataFrame, *, threshold: float, shard_rows: int, sample_rows
         blocks = F.ceil(F.col("size") / (most / 2)).cast("int")
         own = F.pmod(F.xxhash64("id", F.lit("block")), F.col("blocks")).cast("int")
         stuck = todo.join(judged.where("NOT fine"), "cell").withColumn("blocks", blocks).select("cell", "id", "v", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+        stuck = stuck.where("own != other")  # a block is whole in each of its pairs
         out = out.unionByName(stuck.select(F.concat_ws("-", "cell", F.least("own", "other"), F.greatest("own", "other")).alias("shard"), "id", "v"))
         todo = parts.join(judged.where("fine").select("cell"), "cell", "left_semi").select("id", "v", F.concat_ws(".", "cell", "sub").alias("cell"))
 
@@ -342,9 +363,9 @@ def near_duplicates(
     max_centres: int = 1024,
     degree: int = 16,
     alpha: float = 1.2,
-    pool: int = 64,
-    far: int = 32,
-    beam: int = 12,
+    pool: int = 48,
+    far: int = 16,
+    beam: int = 8,
     medoids: int = 4,
     shard_audit: int = 64,
     audit_queries: int = 200,
