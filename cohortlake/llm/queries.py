@@ -190,7 +190,7 @@ FROM embeddings e LEFT JOIN n ON e.vec_id = n.a LEFT JOIN c ON e.vec_id = c.id
 
 @query("op6_embedding_near_dedup", LINKS_SQL)
 def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return vector_links.near_duplicates(table(spark, sf_dir, "embeddings"))
+    return vector_links.near_duplicates(table(spark, sf_dir, "embeddings")).drop("search_recall", "completed")
 
 
 LEAKS_SQL = r"""
