@@ -340,8 +340,9 @@ FROM (SELECT account_id, balance_at_default AS bd,
 )
 def exposure(spark, sf_dir):
     panel = fx.panel(spark, sf_dir)
-    at_obs = panel.filter("month_idx = -13").select(
-        "account_id", F.col("credit_limit").alias("limit_obs"), F.col("balance").alias("balance_obs")
+    # An account can have rows of several customers in that month: one row each, so that no event is repeated.
+    at_obs = panel.filter("month_idx = -13").groupBy("account_id").agg(
+        F.max("credit_limit").alias("limit_obs"), F.max("balance").alias("balance_obs")
     )
     events = losses.default_events(panel, bad_from=60).join(at_obs, "account_id", "left")
     measures = losses.exposure_measures("balance_at_default", "limit_obs", "balance_obs")

@@ -1,5 +1,8 @@
 """Every registered query on the smallest tables, against its SQL where there is one."""
 
+import shutil
+
+import duckdb
 import pytest
 
 import __spark_entry__ as entry
@@ -25,3 +28,12 @@ def test_entry(spark):
 
 def test_every_oracle_belongs_to_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_exposure_of_an_account_with_several_customers(spark, tmp_path):
+    """Suppliers stand twice, in two nations, as in copies whose shifted keys meet."""
+    shutil.copy(f"{SMALL}/lineitem.parquet", tmp_path / "lineitem.parquet")
+    twice = "s_suppkey, s_name, (s_nationkey + i * (1 + s_suppkey % 3))::INT AS s_nationkey, s_acctbal - i * 37 AS s_acctbal"
+    duckdb.sql(f"COPY (SELECT {twice} FROM '{SMALL}/supplier.parquet', range(2) t(i)) TO '{tmp_path}/supplier.parquet'")
+    status, detail = check_queries.compare(spark, check_queries.connect(str(tmp_path)), str(tmp_path), "q_exposure")
+    assert status == "ok", detail
