@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlake import config as cfg
-from cohortlake.operators.fractional import ONE, FractionalFit, Moments, fit_fractional, log_odds, moments
+from cohortlake.operators.fractional import ONE, FractionalFit, Moments, fit_fractional, log_odds, moments, with_spread
 
 
 #: Where trees see a missing value: below every other, so that it can have a branch of its own.
@@ -145,11 +145,11 @@ def select_forward(
     """Forward selection by score tests: the most significant candidate whose family has room, while the AIC falls.
 
     A step is one pass, which sums the products of all candidates at the present coefficients, and a refit of the model
-    with the winner alone; the driver works on one number per pair of features. Ties go to the feature named first.
+    with the winner alone, which starts from that pass; the driver works on one number per pair of features. Ties go to the feature named first.
     ``max_features`` is the target length of a scorecard; ``stopped`` says whether it was what ended the selection.
     """
     family = family or {}
-    fit = fit_fractional(df, [], target)
+    fit = fit_fractional(df, [], target, robust=False)
     steps: list[Step] = []
     while True:
         chosen = [s.feature for s in steps]
@@ -159,7 +159,8 @@ def select_forward(
             stopped = "max_features" if len(chosen) >= max_features else "no_candidate"
             break
         known = df.where(F.col(f"`{target}`").isNotNull())
-        found = score_statistics(moments(known, (ONE, *features), target, log_odds(fit.intercept, fit.coefficients)), chosen, open_)
+        here = moments(known, (ONE, *features), target, log_odds(fit.intercept, fit.coefficients))
+        found = score_statistics(here, chosen, open_)
         if not found:
             stopped = "no_candidate"
             break
@@ -168,13 +169,13 @@ def select_forward(
         if p_value > max_p:
             stopped = "not_significant"
             break
-        with_best = fit_fractional(df, [*chosen, best], target)
+        with_best = fit_fractional(df, [*chosen, best], target, start=({ONE: fit.intercept, **fit.coefficients}, here), robust=False)
         if with_best.aic >= fit.aic:
             stopped = "aic"
             break
         fit = with_best
         steps.append(Step(best, found[best], p_value, fit.aic))
-    return Selection(fit if steps else None, tuple(steps), stopped)
+    return Selection(with_spread(fit, df, target) if steps else None, tuple(steps), stopped)
 
 
 def forward_selection(df: DataFrame, features: Sequence[str], target: str = "target", **limits) -> LogisticFit | None:
