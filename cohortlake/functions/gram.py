@@ -33,7 +33,11 @@ def _by_aggregate(numbers: DataFrame) -> np.ndarray:
     pairs = [(i, j) for i in range(n) for j in range(i + 1)]
     cells = [F.col(c) for c in numbers.columns]
     missing = reduce(Column.__or__, [c.isNull() | F.isnan(c) for c in cells])
-    *sums, without = numbers.agg(*[F.sum(cells[i] * cells[j]) for i, j in pairs], F.count_if(missing)).first()
+    # Sums over blocks of rows first: one long sum of like numbers loses digits.
+    blocks = numbers.groupBy(F.shiftright(F.monotonically_increasing_id(), 16).alias("_block")).agg(
+        *[F.sum(cells[i] * cells[j]).alias(f"s{k}") for k, (i, j) in enumerate(pairs)], F.count_if(missing).alias("without")
+    )
+    *sums, without = blocks.agg(*[F.sum(f"s{k}") for k in range(len(pairs))], F.coalesce(F.sum("without"), F.lit(0))).first()
     if without:
         raise ValueError(f"{without} rows have a null or NaN value")
     out = np.zeros((n, n))
