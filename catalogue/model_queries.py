@@ -18,6 +18,7 @@ from cohortlake.operators import (
     validation,
 )
 from cohortlake.operators import population as pop
+from cohortlake.sources.workspace import materialise
 
 # -- bands and bins -------------------------------------------------------------------------
 
@@ -339,7 +340,9 @@ FROM (SELECT account_id, balance_at_default AS bd,
     ),
 )
 def exposure(spark, sf_dir):
-    panel = fx.panel(spark, sf_dir)
+    # Computed once: a sum that is computed again can differ in its last digit, and a default in that month is then out of bounds.
+    used = ("account_id", "customer_id", "product_type", "month_idx", "dpd", "balance", "credit_limit")
+    panel = materialise(fx.panel(spark, sf_dir).select(*used), "panel")
     # An account can have rows of several customers in that month: one row each, so that no event is repeated.
     at_obs = panel.filter("month_idx = -13").groupBy("account_id").agg(
         F.max("credit_limit").alias("limit_obs"), F.max("balance").alias("balance_obs")
