@@ -30,12 +30,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
+def materialise(df: DataFrame, label: str, rows_per_file: int = 0) -> DataFrame:
     """Write once to the shared folder and read back.
 
     Used where two consumers need the same expensive result: it survives the loss of executors
-    and cuts the lineage, which a cached DataFrame does not.
+    and cuts the lineage, which a cached DataFrame does not. ``rows_per_file`` (0: no bound) makes files that other tasks read.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("maxRecordsPerFile", rows_per_file).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

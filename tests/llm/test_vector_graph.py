@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import numpy as np
 import pytest
 
@@ -76,3 +78,41 @@ def test_too_low_recall_stops_the_query(spark, monkeypatch):
     df = spark.createDataFrame([(i, [1.0, i / 9], 0) for i in range(9)], "vec_id long, embedding array<double>, label int")
     with pytest.raises(RuntimeError, match="0.500"):
         vector_links.near_duplicates(df)
+
+
+HOW = {"threshold": 0.98, "shard_rows": 40, "sample_rows": 1000, "max_centres": 64}
+GRAPH = {"degree": 16, "alpha": 1.2, "pool": 48, "far": 16, "beam": 8, "medoids": 4, "audited": 16}
+
+
+def table_of(spark, x: np.ndarray):
+    return spark.createDataFrame([(i, 0, v, 1) for i, v in enumerate(x.tolist())], "id long, label long, v array<double>, n long")
+
+
+def test_disk_grows_with_the_vectors_of_a_cell_that_no_centres_split(spark):
+    """Twice the vectors are four times the pairs of blocks, but twice the bytes."""
+    folder, rng, written = Path(spark.conf.get("spark.checkpoint.dir")), np.random.default_rng(3), []
+    for n in (900, 1800):
+        before = set(folder.rglob("*.parquet"))
+        vector_links.shard_links(table_of(spark, rng.normal(size=(n, 64))), **HOW, **GRAPH)
+        written.append(sum(p.stat().st_size for p in set(folder.rglob("*.parquet")) - before))
+    assert written[1] < 2.5 * written[0]
+
+
+def test_split_cells_and_blocks_of_a_part_that_does_not_split(spark):
+    """Distinct clusters, one of them a ball of more vectors than a shard takes: every link is counted once."""
+    rng = np.random.default_rng(8)
+    at = np.concatenate([np.zeros(400, int), np.repeat(np.arange(1, 5), 90)])
+    x = 4 * np.eye(24)[at] + rng.normal(size=(len(at), 24)) * np.where(at == 0, 0.12, 0.05)[:, None]
+    reps = table_of(spark, x)
+    _, split, large, stuck = vector_links.leaves_of(reps, **HOW)
+    assert split is not None and large is None and stuck is not None
+    counts = vector_links.shard_links(reps, **HOW, **GRAPH).where("id IS NOT NULL").groupBy("id").sum("n").collect()
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    true = (unit @ unit.T >= 0.98).sum(axis=1) - 1
+    assert {r[0]: r[1] for r in counts if r[1]} == {i: int(n) for i, n in enumerate(true) if n}
+
+
+def test_links_of_shards_are_merged():
+    parts = [[np.array(c) for c in zip(*rows)] for rows in ([(5, 2, 3), (3, 1, 3)], [(5, 1, 4), (4, 1, 4), (9, 1, 7), (7, 1, 7)], [(4, 3, 1), (1, 1, 1)])]
+    ids, n, root = vector_links.merge_links(parts)
+    assert list(zip(ids, n, root)) == [(1, 1, 1), (3, 1, 1), (4, 4, 1), (5, 3, 1), (7, 1, 7), (9, 1, 7)]
